@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +38,30 @@ def term_join(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     )
     return salted.join(repeated, [key, "_salt"]).drop("_salt")
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast where the measured size allows it."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
+
+
+def attach(
+    large: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, hot_rows: int = 100_000
+) -> DataFrame:
+    """Inner join of rows with one row per group, where ``size`` is the number
+    of rows of ``large`` in the group.
+
+    At most 10 000 groups can hold more than a ten-thousandth of all rows, so
+    the groups above that share are broadcast; their rows never meet in one
+    task. The other groups are joined by a shuffle.
+    """
+    keys = list(keys)
+    total = groups.agg(F.sum(size).alias("n")).first()["n"] or 0
+    limit = max(hot_rows, total // 10_000)
+    hot = groups.filter(F.col(size) > limit)
+    if total <= limit:
+        return large.join(groups, keys)
+    cold = large.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return large.join(F.broadcast(hot), keys).unionByName(
+        cold.join(groups.filter(F.col(size) <= limit), keys)
+    )

@@ -9,6 +9,8 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.functions.joins import bounded_broadcast
+from gleanwork.functions.quantiles import exact_quantiles
 from gleanwork.operators.preparation import numeric_columns
 
 
@@ -62,27 +64,16 @@ def histogram(df: DataFrame, column: str, label: str, bins: int | str = "auto")
     takes the smaller width of the Sturges and Freedman-Diaconis rules.
     """
     stats = df.agg(
-        F.min(column).alias("low"),
-        F.max(column).alias("high"),
-        F.count(column).alias("n"),
-        *(
-            [F.percentile(column, F.array(F.lit(0.25), F.lit(0.75))).alias("q")]
-            if bins == "auto"
-            else []
-        ),
+        F.min(column).alias("low"), F.max(column).alias("high"), F.count(column).alias("n")
     ).first()
-    low, high = stats["low"], stats["high"]
-    if low is None:
-        return df.select(label, F.lit(0).alias("bin"), F.lit(0.0).alias("bin_start")).groupBy(
-            label, "bin", "bin_start"
-        ).agg(F.count(F.lit(1)).alias("n")).limit(0)
-    low, high = float(low), float(high)
+    low, high = float(stats["low"] or 0.0), float(stats["high"] or 0.0)
     if bins == "auto":
-        width = (high - low) / (math.log2(stats["n"]) + 1)
-        spread = 2.0 * (stats["q"][1] - stats["q"][0]) / stats["n"] ** (1.0 / 3.0)
-        if spread > 0:
-            width = min(width, spread)
-        bins = max(1, math.ceil((high - low) / width)) if width > 0 else 1
+        bins = 1
+        if high > low:
+            lower, upper = exact_quantiles(df, [column], [0.25, 0.75])[column]
+            width = (high - low) / (math.log2(stats["n"]) + 1)
+            spread = 2.0 * (upper - lower) / stats["n"] ** (1.0 / 3.0)
+            bins = math.ceil((high - low) / (min(width, spread) if spread > 0 else width))
     step = (high - low) / bins if high > low else 1.0
     position = F.floor((F.col(column) - F.lit(low)) / F.lit(step)).cast("int")
     return (
@@ -128,7 +119,7 @@ def density(df: DataFrame, column: str, label: str, points: int = 200) -> DataFr
     z = (grid - F.col("_v")) / F.col("_h")
     counted = values.groupBy(label, "_v").agg(F.count(F.lit(1)).alias("_w"))
     return (
-        counted.join(F.broadcast(per_class.filter(F.col("_h") > 0)), label)
+        counted.join(bounded_broadcast(per_class.filter(F.col("_h") > 0)), label)
         .withColumn("point", F.explode(F.sequence(first, last)))
         .groupBy(label, "point")
         .agg(

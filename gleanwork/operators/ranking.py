@@ -16,7 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleanwork.functions.joins import BROADCAST_BYTES, fits_broadcast, term_join
+from gleanwork.functions.joins import (
+    BROADCAST_BYTES,
+    bounded_broadcast,
+    fits_broadcast,
+    term_join,
+)
 from gleanwork.functions.numbering import numbered
 from gleanwork.functions.text import ratio_or_zero
 
@@ -61,9 +66,7 @@ def restrict_to_vocabulary(doc_counts: DataFrame, query_counts: DataFrame) -> Da
     joining the broadcast weights and summing per (query, document) need no
     further shuffle of document rows.
     """
-    vocabulary = query_counts.select("term").distinct()
-    if fits_broadcast(vocabulary):
-        vocabulary = F.broadcast(vocabulary)
+    vocabulary = bounded_broadcast(query_counts.select("term").distinct())
     return doc_counts.join(vocabulary, "term", "left_semi").repartition("doc_id")
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.functions.quantiles import exact_quantiles
+
 
 @dataclass(frozen=True)
 class Fitted:
@@ -55,11 +57,10 @@ def fit_min_max(df: DataFrame, columns: Sequence[str]) -> Fitted:
 
 def fit_robust(df: DataFrame, columns: Sequence[str]) -> Fitted:
     """Median and interquartile range with linear interpolation (P-3)."""
-    at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    row = df.agg(*[F.percentile(c, at).alias(c) for c in columns]).first()
+    found = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     return _fitted(
-        {c: row[c][1] if row[c] else None for c in columns},
-        {c: row[c][2] - row[c][0] if row[c] else None for c in columns},
+        {c: found[c][1] if found[c] else None for c in columns},
+        {c: found[c][2] - found[c][0] if found[c] else None for c in columns},
     )
 
 
