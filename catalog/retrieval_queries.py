@@ -69,14 +69,14 @@ def judgment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_judgments(spark, path)
 
 
-RUN_SQL = "select query_id, doc_id, round(score, 9) as score from scores"
+RUN_SQL = "select query_id, doc_id, round(score + 2e-13, 9) as score from scores"
 
 
 @register("s4_ranked_run", f"with {SCORED} {RUN_SQL}")
 def ranked_run_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "run")
     records.write_run(scores(spark, sf_dir), path)
-    return records.read_run(spark, path).withColumn("score", F.round("score", 9))
+    return rounded_score(records.read_run(spark, path))
 
 
 @register(
@@ -357,7 +357,8 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rounded_score(df: DataFrame) -> DataFrame:
-    return df.withColumn("score", F.round("score", 9))
+    # Scores have 12 places; the addend keeps them off the halves of the ninth.
+    return df.withColumn("score", F.round(F.col("score") + 2e-13, 9))
 
 
 @register(
@@ -407,7 +408,7 @@ RANKED = """row_number() over (partition by query_id order by score desc, doc_id
 
 @register(
     "w1_ranked_run",
-    f"""with {SCORED} select query_id, doc_id, round(score, 9) as score, {RANKED} as rank
+    f"""with {SCORED} select query_id, doc_id, round(score + 2e-13, 9) as score, {RANKED} as rank
         from scores""",
 )
 def ranked_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,7 +418,7 @@ def ranked_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "w2_top_ten",
     f"""with {SCORED} select * from (
-          select query_id, doc_id, round(score, 9) as score, {RANKED} as rank from scores
+          select query_id, doc_id, round(score + 2e-13, 9) as score, {RANKED} as rank from scores
           where score > 0.3) where rank <= 10""",
 )
 def top_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -472,7 +473,7 @@ def known_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "j6_distinct_judgments",
     f"""with {SCORED}, {JUDGED}
-        select query_id, doc_id, round(max(score), 9) as score
+        select query_id, doc_id, round(max(score) + 2e-13, 9) as score
         from scores join judged using (query_id, doc_id) group by all""",
 )
 def distinct_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -490,7 +491,7 @@ def distinct_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     "j7_marked_hits",
     f"""with {SCORED}, {JUDGED},
         r as (select query_id, count(*) as n_relevant from judged group by query_id)
-        select query_id, doc_id, round(score, 9) as score, (code is not null)::int as hit,
+        select query_id, doc_id, round(score + 2e-13, 9) as score, (code is not null)::int as hit,
                n_relevant
         from scores join r using (query_id) left join judged using (query_id, doc_id)""",
 )

@@ -46,21 +46,27 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFr
 
 
 def attach(
-    large: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, hot_rows: int = 100_000
+    large: DataFrame,
+    groups: DataFrame,
+    keys: Sequence[str],
+    size: str,
+    total: int | None = None,
+    hot_rows: int = 100_000,
 ) -> DataFrame:
     """Inner join of rows with one row per group, where ``size`` is the number
-    of rows of ``large`` in the group.
+    of rows of ``large`` in the group and ``total`` the number of all rows.
 
     At most 10 000 groups can hold more than a ten-thousandth of all rows, so
     the groups above that share are broadcast; their rows never meet in one
     task. The other groups are joined by a shuffle.
     """
     keys = list(keys)
-    total = groups.agg(F.sum(size).alias("n")).first()["n"] or 0
+    if total is None:
+        total = groups.agg(F.sum(size).alias("n")).first()["n"] or 0
     limit = max(hot_rows, total // 10_000)
-    hot = groups.filter(F.col(size) > limit)
     if total <= limit:
         return large.join(groups, keys)
+    hot = groups.filter(F.col(size) > limit)
     cold = large.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return large.join(F.broadcast(hot), keys).unionByName(
         cold.join(groups.filter(F.col(size) <= limit), keys)

@@ -19,30 +19,29 @@ def connected(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> Data
     both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
     links = settle(both)
     current = settle(nodes.select("node", "seed", F.col("seed").alias("label")))
+    total = current.count()
     for _ in range(max_rounds):
         offered = (
             links.join(current.select(F.col("node").alias("b"), "label"), "b")
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("label").alias("offer"))
         )
+        # Many nodes can share a label, so the label of the node that seeded
+        # it is attached per group of nodes.
+        groups = current.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+        jumps = groups.join(
+            current.select(F.col("seed").alias("label"), F.col("label").alias("jump")), "label"
+        )
+        moved = attach(current, jumps, ["label"], "n", total).join(offered, "node", "left")
         taken = settle(
-            current.join(offered, "node", "left").select(
+            moved.select(
                 "node",
                 "seed",
                 F.col("label").alias("before"),
-                F.least("label", F.coalesce("offer", "label")).alias("label"),
+                F.least("label", "jump", F.coalesce("offer", "label")).alias("label"),
             )
         )
         if taken.filter(F.col("label") != F.col("before")).isEmpty():
             return taken.select("node", "label")
-        # Many nodes can share a label, so its new value is attached per group.
-        groups = taken.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-        jumps = groups.join(
-            taken.select(F.col("seed").alias("label"), F.col("label").alias("further")), "label"
-        )
-        current = settle(
-            attach(taken.drop("before"), jumps, ["label"], "n").select(
-                "node", "seed", F.col("further").alias("label")
-            )
-        )
+        current = taken.drop("before")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -189,8 +189,12 @@ def sweep(
     # Settings that no run row reaches are still reported.
     rows = [(float(e), int(k)) for e in thresholds for k in depths]
     grid = scores.sparkSession.createDataFrame(rows, "threshold double, depth int")
-    return grid.join(F.broadcast(means), by, "left").withColumn(
-        "mean_recall", F.coalesce("mean_recall", F.when(judged > 0, F.lit(0.0)))
+    reached = means.withColumn("_reached", F.lit(True))
+    unreached = F.col("_reached").isNull() & (judged > 0)
+    return (
+        grid.join(F.broadcast(reached), by, "left")
+        .withColumn("mean_recall", F.when(unreached, 0.0).otherwise(F.col("mean_recall")))
+        .drop("_reached")
     )
 
 

@@ -248,15 +248,15 @@ def vote(neighbours: Column, k: int) -> Column:
     return F.array_min(counts)["label"]
 
 
-def distance_curve(
-    df: DataFrame, id_col: str, columns: Sequence[str], neighbour: int = 10
-) -> DataFrame:
+def distance_curve(df: DataFrame, columns: Sequence[str], neighbour: int = 10) -> DataFrame:
     """Distances of all rows to their ``neighbour``-th other row, ascending (K-8).
 
     Run-length form ``<distance, rows, upto>``: ``rows`` rows share the
     distance and ``upto`` rows have it or a smaller one.
     """
-    points = settle(weighted_points(df, id_col, columns))
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    counted = values.groupBy(*columns).agg(F.count(F.lit(1)).alias("w"))
+    points = settle(counted.withColumn("pid", F.monotonically_increasing_id()))
     wanted = neighbour + 1  # the row itself is its first neighbour
     other = points.withColumnRenamed("pid", "_other")
     found = nearest(points, other, columns, wanted, "pid", "_other", ["w"])

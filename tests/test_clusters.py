@@ -101,7 +101,7 @@ def test_votes(spark, leave_out_self):
 
 def test_distance_curve_and_knee(spark):
     x = brute.blobs(8)
-    curve = neighbours.distance_curve(frame(spark, x), "id", COLUMNS, 10)
+    curve = neighbours.distance_curve(frame(spark, x), COLUMNS, 10)
     d = np.sort(np.sort(brute.distances(x, x), axis=1)[:, 10])
     got = np.concatenate(
         [[r["distance"]] * r["rows"] for r in curve.orderBy("distance").collect()]
