@@ -19,6 +19,12 @@ from pyspark.sql import types as T
 from gleanwork.session import settle
 
 BLOCK_ROWS = 512
+_EMIT_ROWS = 200_000
+
+
+def as_doubles(columns: Sequence[str]) -> list[str]:
+    """Select expressions that turn the columns into doubles."""
+    return [f"cast(`{c}` as double) as `{c}`" for c in columns]
 
 
 def weighted_points(df: DataFrame, id_col: str, columns: Sequence[str], *also: str) -> DataFrame:
@@ -26,7 +32,7 @@ def weighted_points(df: DataFrame, id_col: str, columns: Sequence[str], *also: s
 
     Everything quadratic runs on these: repeated rows cost nothing.
     """
-    values = df.select(id_col, *also, *[F.col(c).cast("double").alias(c) for c in columns])
+    values = df.selectExpr(f"`{id_col}`", *also, *as_doubles(columns))
     return values.groupBy(*also, *columns).agg(
         F.count(F.lit(1)).alias("w"), F.min(id_col).alias("pid")
     )
@@ -127,32 +133,46 @@ def meet(
     right: DataFrame,
     left_columns: Sequence[str],
     right_columns: Sequence[str],
-    kernel: Callable[[dict], pd.DataFrame | None],
+    kernel: Callable[[dict], dict | None],
     schema: str,
 ) -> DataFrame:
     """Run ``kernel`` on every pair ``<l_block, r_block>``.
 
-    The kernel gets a dict of ``l_*`` and ``r_*`` arrays and returns a frame
-    with the columns of ``schema``, or None.
+    The kernel gets a dict of ``l_*`` and ``r_*`` arrays and returns the
+    columns of ``schema`` as arrays of equal length, or None. Pairs are dealt
+    to the cores before the points are joined to them, so a small number of
+    pairs does not end up in one task.
     """
     a = left.select(*[F.col(c).alias(f"l_{c}") for c in ["block", "points", *left_columns]])
     b = right.select(*[F.col(c).alias(f"r_{c}") for c in ["block", "points", *right_columns]])
-    joined = pairs.select("l_block", "r_block").join(a, "l_block").join(b, "r_block")
+    cores = left.sparkSession.sparkContext.defaultParallelism
+    dealt = pairs.select("l_block", "r_block").repartition(cores, "l_block", "r_block")
+    joined = dealt.join(a, "l_block").join(b, "r_block")
     names = joined.columns
+    fields = T.StructType.fromDDL(schema).names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
+            found: list[dict] = []
+            held = 0
             for row in batch.itertuples(index=False, name=None):
-                frame = kernel(dict(zip(names, row)))
-                if frame is not None and len(frame):
-                    found.append(frame)
+                made = kernel(dict(zip(names, row)))
+                if made is not None and len(made[fields[0]]):
+                    found.append(made)
+                    held += len(made[fields[0]])
+                if held >= _EMIT_ROWS:
+                    yield _stacked(found, fields)
+                    found, held = [], 0
             if found:
-                yield pd.concat(found, ignore_index=True)
+                yield _stacked(found, fields)
 
     return joined.mapInPandas(run, schema)
 
 
+def _stacked(parts: list[dict], fields: list[str]) -> pd.DataFrame:
+    return pd.DataFrame({f: np.concatenate([p[f] for p in parts]) for f in fields})
+
+
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """All squared distances between the rows of two small matrices, summed
     coordinate by coordinate so that close points keep their precision."""

@@ -19,7 +19,14 @@ from pyspark.sql.window import Window
 
 from gleanwork.functions.joins import attach
 from gleanwork.functions.numbering import running_total
-from gleanwork.operators.blocks import meet, packed, squared_distances, weighted_points
+from gleanwork.operators.blocks import (
+    BLOCK_ROWS,
+    as_doubles,
+    meet,
+    packed,
+    squared_distances,
+    weighted_points,
+)
 from gleanwork.session import settle
 
 MAX_PIVOTS = 8192
@@ -28,9 +35,17 @@ _CHUNK = 512  # rows of one distance matrix against all pivots
 _SLACK = 1e-9
 
 
-def _pivots(train: DataFrame, columns: Sequence[str], count: int) -> np.ndarray:
-    """A reproducible random choice of at most ``count`` train points."""
-    chosen = train.select(*columns).orderBy(F.xxhash64(*columns), *columns).limit(count)
+def _pivots(train: DataFrame, columns: Sequence[str], rows: int, count: int) -> np.ndarray:
+    """A reproducible random choice of about ``count`` train points.
+
+    The hash of a point decides; a threshold leaves a few times ``count``
+    candidates, so the final choice stays small whatever the table size.
+    """
+    hashed = train.select(*columns, F.xxhash64(*columns).alias("_hash"))
+    if rows > 16 * count:
+        share = int(4 * count / rows * 2**64)
+        hashed = hashed.filter(F.col("_hash") < F.lit(-(2**63) + share))
+    chosen = hashed.orderBy("_hash", *columns).limit(count).drop("_hash")
     return np.array([tuple(r) for r in chosen.collect()], dtype=float)
 
 
@@ -120,12 +135,12 @@ def nearest(
     filled by copies of one point.
     """
     columns, carry = list(columns), list(carry)
-    doubles = [F.col(c).cast("double").alias(c) for c in columns]
-    train = train.select(F.col(train_key).alias("_train"), *carry, *doubles)
-    test = test.select(F.col(test_key).alias("_test"), *doubles)
+    train = train.selectExpr(f"`{train_key}` as _train", *carry, *as_doubles(columns))
+    test = test.selectExpr(f"`{test_key}` as _test", *as_doubles(columns))
+    # A cell should fill about one block.
     count = train.count()
-    wanted = pivots or math.isqrt(count)
-    centres = _pivots(train, columns, max(1, min(wanted, MAX_PIVOTS, 1_000_000 // max(k, 1))))
+    wanted = min(pivots or math.ceil(count / BLOCK_ROWS), MAX_PIVOTS, 1_000_000 // k)
+    centres = _pivots(train, columns, count, max(1, wanted))
     if not len(centres):
         centres = np.zeros((1, len(columns)))
     gathered = settle(_gathered(train, columns, centres))
@@ -153,7 +168,7 @@ def nearest(
     )
     d = len(columns)
 
-    def kernel(row: dict) -> pd.DataFrame:
+    def kernel(row: dict) -> dict:
         a = np.asarray(row["l_points"]).reshape(-1, d)
         b = np.asarray(row["r_points"]).reshape(-1, d)
         away = squared_distances(a, b)
@@ -169,7 +184,7 @@ def nearest(
             "distance": np.sqrt(away[i, j]),
         }
         made.update({c: np.asarray(row[f"r_{c}"])[j] for c in carry})
-        return pd.DataFrame(made)
+        return made
 
     types = {f.name: f.dataType.simpleString() for f in [*train.schema, *test.schema]}
     schema = ", ".join(
@@ -208,7 +223,7 @@ def neighbour_lists(
     wide = k + 1 if leave_out_self else k
     copies = Window.partitionBy(*columns).orderBy(id_col)
     candidates = (
-        train.select(id_col, label, *[F.col(c).cast("double").alias(c) for c in columns])
+        train.selectExpr(id_col, label, *as_doubles(columns))
         .withColumn("_copy", F.row_number().over(copies))
         .filter(F.col("_copy") <= wide)
         .drop("_copy")
@@ -225,10 +240,8 @@ def neighbour_lists(
         ).alias("neighbours")
     )
     per_point = points.join(lists, "pid").drop("pid")
-    rows = test.select(
-        *[F.col(c).cast("double").alias(c) if c in columns else F.col(c) for c in test.columns]
-    )
-    joined = attach(rows, per_point, columns, "w").drop("w")
+    rows = test.selectExpr(*[c for c in test.columns if c not in columns], *as_doubles(columns))
+    joined = attach(rows, per_point, columns, "w").select(*test.columns, "neighbours")
     kept = F.col("neighbours")
     if leave_out_self:
         kept = F.filter(kept, lambda n: n["id"] != F.col(id_col))
@@ -254,8 +267,7 @@ def distance_curve(df: DataFrame, columns: Sequence[str], neighbour: int = 10) -
     Run-length form ``<distance, rows, upto>``: ``rows`` rows share the
     distance and ``upto`` rows have it or a smaller one.
     """
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counted = values.groupBy(*columns).agg(F.count(F.lit(1)).alias("w"))
+    counted = df.selectExpr(*as_doubles(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("w"))
     points = settle(counted.withColumn("pid", F.monotonically_increasing_id()))
     wanted = neighbour + 1  # the row itself is its first neighbour
     other = points.withColumnRenamed("pid", "_other")

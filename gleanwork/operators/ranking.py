@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from gleanwork.functions.joins import (
     BROADCAST_BYTES,
+    attach,
     bounded_broadcast,
     fits_broadcast,
     term_join,
@@ -31,7 +32,8 @@ SCORE_PLACES = 12
 
 def query_weights(query_counts: DataFrame, query_idf: DataFrame) -> DataFrame:
     """``<query_id, term, qtf, qw, n1>``: weight per term, norm per query."""
-    weighted = query_counts.join(query_idf.select("term", "idf"), "term").withColumn(
+    # Many queries can share a term; ``df`` says how many.
+    weighted = attach(query_counts, query_idf, ["term"], "df").withColumn(
         "qw", F.col("qtf") * F.col("idf")
     )
     square = F.col("qtf") * F.pow("qw", F.lit(2.0))
