@@ -308,7 +308,7 @@ def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SMALL_GRIDS = {
     "kmeans": {"n_clusters": [3, 7, 2], "n_init": [2], "algorithm": ["auto", "elkan"]},
-    "dbscan": {"eps": [0.4, 0.6], "min_samples": [5, 16, 10]},
+    "dbscan": {"eps": [0.4, 0.6], "min_samples": [8]},
 }
 
 

@@ -105,7 +105,7 @@ def token_counts(tokens: Column) -> Column:
         )
 
     return let(
-        F.array_sort(tokens),
+        F.sort_array(tokens),
         lambda ordered: F.when(F.size(ordered) > 0, runs(ordered)).otherwise(
             F.array().cast("array<struct<term:string,tf:bigint>>")
         ),

@@ -76,7 +76,6 @@ def _gathered(train: DataFrame, columns: Sequence[str], pivots: np.ndarray) -> D
 
 def _targets(
     test: DataFrame,
-    key: str,
     columns: Sequence[str],
     pivots: np.ndarray,
     radius: np.ndarray,
@@ -118,6 +117,24 @@ def _targets(
     return test.mapInPandas(choose, schema)
 
 
+def _reach_of(gathered: DataFrame, pivots: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Radius of each pivot's part and its k smallest offsets: at most k rows
+    per pivot reach the driver."""
+    by_off = Window.partitionBy("pivot").orderBy("off", "_train")
+    first = (
+        gathered.select("pivot", "off", "_train")
+        .withColumn("i", F.row_number().over(by_off))
+        .filter(F.col("i") <= k)
+    )
+    closest = np.full((pivots, k), np.inf)
+    for row in first.collect():
+        closest[row["pivot"], row["i"] - 1] = row["off"]
+    radius = np.full(pivots, -np.inf)
+    for row in gathered.groupBy("pivot").agg(F.max("off").alias("r")).collect():
+        radius[row["pivot"]] = row["r"]
+    return radius, closest
+
+
 def nearest(
     test: DataFrame,
     train: DataFrame,
@@ -143,24 +160,17 @@ def nearest(
     centres = _pivots(train, columns, count, max(1, wanted))
     if not len(centres):
         centres = np.zeros((1, len(columns)))
-    gathered = settle(_gathered(train, columns, centres))
-
-    # Per pivot: radius and the k smallest offsets, at most k rows per pivot.
-    by_off = Window.partitionBy("pivot").orderBy("off", "_train")
-    first = (
-        gathered.select("pivot", "off", "_train")
-        .withColumn("i", F.row_number().over(by_off))
-        .filter(F.col("i") <= k)
-    )
-    closest = np.full((len(centres), k), np.inf)
-    for row in first.collect():
-        closest[row["pivot"], row["i"] - 1] = row["off"]
-    radius = np.full(len(centres), -np.inf)
-    for row in gathered.groupBy("pivot").agg(F.max("off").alias("r")).collect():
-        radius[row["pivot"]] = row["r"]
-
-    train_blocks = packed(gathered, "pivot", columns, ["_train", *carry])
-    visits = _targets(test, "_test", columns, centres, radius, closest, k)
+    if len(centres) == 1:
+        # One part holds everything; there is nothing to choose from.
+        train_blocks = packed(
+            train.withColumn("pivot", F.lit(0)), "pivot", columns, ["_train", *carry]
+        )
+        visits = test.withColumn("pivot", F.lit(0))
+    else:
+        gathered = settle(_gathered(train, columns, centres))
+        radius, closest = _reach_of(gathered, len(centres), k)
+        train_blocks = packed(gathered, "pivot", columns, ["_train", *carry])
+        visits = _targets(test, columns, centres, radius, closest, k)
     test_blocks = packed(visits, "pivot", columns, ["_test"])
     pairs = (
         test_blocks.select(F.col("block").alias("l_block"), "pivot")

@@ -16,13 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleanwork.functions.joins import (
-    BROADCAST_BYTES,
-    attach,
-    bounded_broadcast,
-    fits_broadcast,
-    term_join,
-)
+from gleanwork.functions.joins import attach, term_join
 from gleanwork.functions.numbering import numbered
 from gleanwork.functions.text import ratio_or_zero
 
@@ -61,32 +55,32 @@ def token_weights(tokens: DataFrame, counts: DataFrame, idf: DataFrame) -> DataF
     )
 
 
-def restrict_to_vocabulary(doc_counts: DataFrame, query_counts: DataFrame) -> DataFrame:
+def restrict_to_vocabulary(
+    doc_counts: DataFrame, weights: DataFrame, broadcast_queries: bool
+) -> DataFrame:
     """Document terms that some query uses, laid out by document.
 
     Everything after this works on one layout: counting documents per term,
     joining the broadcast weights and summing per (query, document) need no
     further shuffle of document rows.
     """
-    vocabulary = bounded_broadcast(query_counts.select("term").distinct())
+    vocabulary = weights.select("term").distinct()
+    if broadcast_queries:
+        vocabulary = F.broadcast(vocabulary)
     return doc_counts.join(vocabulary, "term", "left_semi").repartition("doc_id")
 
 
 def cosine_scores(
-    doc_counts: DataFrame,
-    doc_idf: DataFrame,
-    weights: DataFrame,
-    max_broadcast_bytes: int = BROADCAST_BYTES,
+    doc_counts: DataFrame, doc_idf: DataFrame, weights: DataFrame, broadcast_queries: bool
 ) -> DataFrame:
     """``<query_id, doc_id, score>`` of every pair with a score above 0 (J-2, J-3).
 
     Pairs that share no weighted term have score 0 and are not listed.
+    ``broadcast_queries`` tells that the measured size of ``weights`` allows a
+    broadcast; what is broadcast has at most as many rows.
     """
     known = weights.join(doc_idf.select("term", F.col("idf").alias("didf")), "term")
-    # ``known`` has at most one row per row of ``weights``, so measuring the
-    # query side alone bounds it and does not touch the documents.
-    small = fits_broadcast(weights, max_broadcast_bytes)
-    pairs = term_join(doc_counts, known, "term", "doc_id", small)
+    pairs = term_join(doc_counts, known, "term", "doc_id", broadcast_queries)
     dw = F.col("tf") * F.col("didf")
     sums = pairs.groupBy("query_id", "doc_id").agg(
         F.sum(F.col("qtf") * F.col("qw") * dw).alias("dot"),

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanwork.functions.joins import fits_broadcast
 from gleanwork.functions.text import STOP_WORDS
 from gleanwork.operators import ranking, terms
 from gleanwork.session import settle, spread
@@ -23,12 +24,13 @@ def scored_pairs(
     query_counts = terms.query_term_counts(queries, "query_id", "text", words)
     query_idf = terms.inverse_frequencies(query_counts, queries, "qtf")
     weights = settle(ranking.query_weights(query_counts, query_idf))
+    small = fits_broadcast(weights)
 
     doc_counts = ranking.restrict_to_vocabulary(
-        terms.term_counts(spread(docs), "doc_id", "text", words), weights
+        terms.term_counts(spread(docs), "doc_id", "text", words), weights, small
     )
     doc_idf = terms.inverse_frequencies(doc_counts, docs)
-    return ranking.cosine_scores(doc_counts, doc_idf, weights)
+    return ranking.cosine_scores(doc_counts, doc_idf, weights, small)
 
 
 def ranked_run(

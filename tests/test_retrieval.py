@@ -109,8 +109,12 @@ def test_salted_join_gives_the_same_scores(docs, topics):
     weights = ranking.query_weights(counts, terms.inverse_frequencies(counts, topics, "qtf"))
     doc_counts = terms.term_counts(docs, "doc_id", "text")
     idf = terms.inverse_frequencies(doc_counts, docs)
-    small = ranking.cosine_scores(doc_counts, idf, weights)
-    salted = ranking.cosine_scores(doc_counts, idf, weights, max_broadcast_bytes=0)
+    small, salted = (
+        ranking.cosine_scores(
+            ranking.restrict_to_vocabulary(doc_counts, weights, fits), idf, weights, fits
+        )
+        for fits in (True, False)
+    )
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, salted.collect()))
 
 
