@@ -60,7 +60,6 @@ def attach(
     the groups above that share are broadcast; their rows never meet in one
     task. The other groups are joined by a shuffle.
     """
-    keys = list(keys)
     if total is None:
         total = groups.agg(F.sum(size).alias("n")).first()["n"] or 0
     limit = max(hot_rows, total // 10_000)

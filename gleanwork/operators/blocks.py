@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,18 +22,23 @@ BLOCK_ROWS = 512
 _EMIT_ROWS = 200_000
 
 
-def as_doubles(columns: Sequence[str]) -> list[str]:
-    """Select expressions that turn the columns into doubles."""
-    return [f"cast(`{c}` as double) as `{c}`" for c in columns]
+def as_point(columns: Sequence[str]) -> Column:
+    """The columns as one array of doubles.
+
+    Operators on points use this single column ``_x``, whatever the number of
+    coordinates.
+    """
+    return F.expr("array(" + ", ".join(f"cast(`{c}` as double)" for c in columns) + ")")
 
 
 def weighted_points(df: DataFrame, id_col: str, columns: Sequence[str], *also: str) -> DataFrame:
-    """Distinct points with the number of rows ``w`` and the smallest id ``pid``.
+    """Distinct points ``_x`` with the number of rows ``w`` and the smallest id
+    ``pid``.
 
     Everything quadratic runs on these: repeated rows cost nothing.
     """
-    values = df.selectExpr(f"`{id_col}`", *also, *as_doubles(columns))
-    return values.groupBy(*also, *columns).agg(
+    values = df.select(id_col, *also, as_point(columns).alias("_x"))
+    return values.groupBy(*also, "_x").agg(
         F.count(F.lit(1)).alias("w"), F.min(id_col).alias("pid")
     )
 
@@ -41,7 +46,6 @@ def weighted_points(df: DataFrame, id_col: str, columns: Sequence[str], *also: s
 def packed(
     points: DataFrame,
     key: str,
-    columns: Sequence[str],
     carry: Sequence[str],
     size: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -51,11 +55,11 @@ def packed(
     thin slices in space, a hot key spans many partitions and small keys stay
     whole. The result is written, hence block numbers do not change.
     """
-    columns, carry = list(columns), list(carry)
+    carry = list(carry)
     laid_out = (
-        points.select(key, *carry, *columns)
-        .repartitionByRange(key, *columns)
-        .sortWithinPartitions(key, *columns)
+        points.select(key, *carry, "_x")
+        .repartitionByRange(key, "_x")
+        .sortWithinPartitions(key, "_x")
     )
     types = {f.name: f.dataType for f in laid_out.schema}
     doubles = T.ArrayType(T.DoubleType())
@@ -75,7 +79,7 @@ def packed(
             if not len(batch):
                 continue
             keys = batch[key].to_numpy()
-            values = batch[columns].to_numpy(dtype=float)
+            values = np.stack(batch["_x"].to_numpy())
             extras = {c: batch[c].to_numpy() for c in carry}
             starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             ends = np.append(starts[1:], len(keys))
@@ -107,7 +111,7 @@ def summaries(blocks: DataFrame, prefix: str, *keep: str) -> DataFrame:
     )
 
 
-def gap(a: str = "l", b: str = "r"):
+def gap(a: str = "l", b: str = "r") -> Column:
     """Smallest possible distance between points of two blocks."""
     steps = F.zip_with(
         F.zip_with(f"{a}_low", f"{b}_high", lambda x, y: x - y),
@@ -117,7 +121,7 @@ def gap(a: str = "l", b: str = "r"):
     return F.sqrt(F.aggregate(steps, F.lit(0.0), lambda acc, s: acc + s * s))
 
 
-def reach(a: str = "l", b: str = "r"):
+def reach(a: str = "l", b: str = "r") -> Column:
     """Largest possible distance between points of two blocks."""
     steps = F.zip_with(
         F.zip_with(f"{a}_high", f"{b}_low", lambda x, y: x - y),

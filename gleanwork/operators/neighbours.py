@@ -21,7 +21,7 @@ from gleanwork.functions.joins import attach
 from gleanwork.functions.numbering import running_total
 from gleanwork.operators.blocks import (
     BLOCK_ROWS,
-    as_doubles,
+    as_point,
     meet,
     packed,
     squared_distances,
@@ -35,23 +35,22 @@ _CHUNK = 512  # rows of one distance matrix against all pivots
 _SLACK = 1e-9
 
 
-def _pivots(train: DataFrame, columns: Sequence[str], rows: int, count: int) -> np.ndarray:
+def _pivots(train: DataFrame, rows: int, count: int) -> np.ndarray:
     """A reproducible random choice of about ``count`` train points.
 
     The hash of a point decides; a threshold leaves a few times ``count``
     candidates, so the final choice stays small whatever the table size.
     """
-    hashed = train.select(*columns, F.xxhash64(*columns).alias("_hash"))
+    hashed = train.select("_x", F.xxhash64("_x").alias("_hash"))
     if rows > 16 * count:
         share = int(4 * count / rows * 2**64)
         hashed = hashed.filter(F.col("_hash") < F.lit(-(2**63) + share))
-    chosen = hashed.orderBy("_hash", *columns).limit(count).drop("_hash")
-    return np.array([tuple(r) for r in chosen.collect()], dtype=float)
+    chosen = hashed.orderBy("_hash", "_x").limit(count)
+    return np.array([r["_x"] for r in chosen.collect()], dtype=float)
 
 
-def _gathered(train: DataFrame, columns: Sequence[str], pivots: np.ndarray) -> DataFrame:
+def _gathered(train: DataFrame, pivots: np.ndarray) -> DataFrame:
     """Add the nearest pivot and the distance to it."""
-    columns = list(columns)
     schema = T.StructType(
         [
             *train.schema.fields,
@@ -64,7 +63,7 @@ def _gathered(train: DataFrame, columns: Sequence[str], pivots: np.ndarray) -> D
         for batch in batches:
             for a in range(0, len(batch), _CHUNK):
                 part = batch.iloc[a : a + _CHUNK]
-                away = squared_distances(part[columns].to_numpy(dtype=float), pivots)
+                away = squared_distances(np.stack(part["_x"].to_numpy()), pivots)
                 nearest = away.argmin(axis=1)
                 yield part.assign(
                     pivot=nearest.astype("int32"),
@@ -76,7 +75,6 @@ def _gathered(train: DataFrame, columns: Sequence[str], pivots: np.ndarray) -> D
 
 def _targets(
     test: DataFrame,
-    columns: Sequence[str],
     pivots: np.ndarray,
     radius: np.ndarray,
     closest: np.ndarray,
@@ -88,7 +86,6 @@ def _targets(
     j (inf where there are fewer); distance to the pivot plus one of these is
     an upper bound for the distance to that train point.
     """
-    columns = list(columns)
     schema = T.StructType([*test.schema.fields, T.StructField("pivot", T.IntegerType())])
     between = np.sqrt(squared_distances(pivots, pivots))
 
@@ -96,7 +93,7 @@ def _targets(
         for batch in batches:
             for a in range(0, len(batch), _CHUNK):
                 part = batch.iloc[a : a + _CHUNK]
-                away = np.sqrt(squared_distances(part[columns].to_numpy(dtype=float), pivots))
+                away = np.sqrt(squared_distances(np.stack(part["_x"].to_numpy()), pivots))
                 n = len(part)
                 use = min(_BOUND_FROM, len(pivots))
                 near = np.argpartition(away, use - 1, axis=1)[:, :use]
@@ -138,7 +135,6 @@ def _reach_of(gathered: DataFrame, pivots: int, k: int) -> tuple[np.ndarray, np.
 def nearest(
     test: DataFrame,
     train: DataFrame,
-    columns: Sequence[str],
     k: int,
     test_key: str,
     train_key: str,
@@ -148,39 +144,36 @@ def nearest(
     """``<test_key, place, train_key, carried..., distance>`` with the ``k``
     nearest train points of every test point, ties by ``train_key``.
 
-    Both keys are unique. Callers hand in distinct points, so no cell can be
-    filled by copies of one point.
+    Both tables hold points ``_x`` and unique keys. Callers hand in distinct
+    points, so no part can be filled by copies of one point.
     """
-    columns, carry = list(columns), list(carry)
-    train = train.selectExpr(f"`{train_key}` as _train", *carry, *as_doubles(columns))
-    test = test.selectExpr(f"`{test_key}` as _test", *as_doubles(columns))
+    carry = list(carry)
+    train = train.select(F.col(train_key).alias("_train"), *carry, "_x")
+    test = test.select(F.col(test_key).alias("_test"), "_x")
     # A cell should fill about one block.
     count = train.count()
     wanted = min(pivots or math.ceil(count / BLOCK_ROWS), MAX_PIVOTS, 1_000_000 // k)
-    centres = _pivots(train, columns, count, max(1, wanted))
-    if not len(centres):
-        centres = np.zeros((1, len(columns)))
-    if len(centres) == 1:
+    centres = _pivots(train, count, max(1, wanted))
+    if len(centres) <= 1:
         # One part holds everything; there is nothing to choose from.
         train_blocks = packed(
-            train.withColumn("pivot", F.lit(0)), "pivot", columns, ["_train", *carry]
+            train.withColumn("pivot", F.lit(0)), "pivot", ["_train", *carry]
         )
         visits = test.withColumn("pivot", F.lit(0))
     else:
-        gathered = settle(_gathered(train, columns, centres))
+        gathered = settle(_gathered(train, centres))
         radius, closest = _reach_of(gathered, len(centres), k)
-        train_blocks = packed(gathered, "pivot", columns, ["_train", *carry])
-        visits = _targets(test, columns, centres, radius, closest, k)
-    test_blocks = packed(visits, "pivot", columns, ["_test"])
+        train_blocks = packed(gathered, "pivot", ["_train", *carry])
+        visits = _targets(test, centres, radius, closest, k)
+    test_blocks = packed(visits, "pivot", ["_test"])
     pairs = (
         test_blocks.select(F.col("block").alias("l_block"), "pivot")
         .join(train_blocks.select(F.col("block").alias("r_block"), "pivot"), "pivot")
     )
-    d = len(columns)
 
     def kernel(row: dict) -> dict:
-        a = np.asarray(row["l_points"]).reshape(-1, d)
-        b = np.asarray(row["r_points"]).reshape(-1, d)
+        a = np.asarray(row["l_points"]).reshape(len(row["l__test"]), -1)
+        b = np.asarray(row["r_points"]).reshape(len(row["r__train"]), -1)
         away = squared_distances(a, b)
         if len(b) > k:
             # Keeps ties with the k-th; the ranking below settles them.
@@ -231,16 +224,16 @@ def neighbour_lists(
     """
     columns = list(columns)
     wide = k + 1 if leave_out_self else k
-    copies = Window.partitionBy(*columns).orderBy(id_col)
+    copies = Window.partitionBy("_x").orderBy(id_col)
     candidates = (
-        train.selectExpr(id_col, label, *as_doubles(columns))
+        train.select(id_col, label, as_point(columns).alias("_x"))
         .withColumn("_copy", F.row_number().over(copies))
         .filter(F.col("_copy") <= wide)
         .drop("_copy")
     )
     points = settle(weighted_points(test, id_col, columns))
     found = nearest(
-        points, candidates.withColumnRenamed(id_col, "_id"), columns, wide, "pid", "_id", [label]
+        points, candidates.withColumnRenamed(id_col, "_id"), wide, "pid", "_id", [label]
     )
     lists = found.groupBy("pid").agg(
         F.sort_array(
@@ -250,8 +243,8 @@ def neighbour_lists(
         ).alias("neighbours")
     )
     per_point = points.join(lists, "pid").drop("pid")
-    rows = test.selectExpr(*[c for c in test.columns if c not in columns], *as_doubles(columns))
-    joined = attach(rows, per_point, columns, "w").select(*test.columns, "neighbours")
+    rows = test.withColumn("_x", as_point(columns))
+    joined = attach(rows, per_point, ["_x"], "w").select(*test.columns, "neighbours")
     kept = F.col("neighbours")
     if leave_out_self:
         kept = F.filter(kept, lambda n: n["id"] != F.col(id_col))
@@ -277,11 +270,11 @@ def distance_curve(df: DataFrame, columns: Sequence[str], neighbour: int = 10) -
     Run-length form ``<distance, rows, upto>``: ``rows`` rows share the
     distance and ``upto`` rows have it or a smaller one.
     """
-    counted = df.selectExpr(*as_doubles(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("w"))
+    counted = df.groupBy(as_point(columns).alias("_x")).agg(F.count(F.lit(1)).alias("w"))
     points = settle(counted.withColumn("pid", F.monotonically_increasing_id()))
     wanted = neighbour + 1  # the row itself is its first neighbour
     other = points.withColumnRenamed("pid", "_other")
-    found = nearest(points, other, columns, wanted, "pid", "_other", ["w"])
+    found = nearest(points, other, wanted, "pid", "_other", ["w"])
     seen = Window.partitionBy("pid").orderBy("place").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

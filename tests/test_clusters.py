@@ -70,8 +70,10 @@ def test_one_cluster_has_no_silhouette(spark):
 def test_nearest(spark, monkeypatch, pivots):
     monkeypatch.setattr(blocks.packed, "__defaults__", (8,))
     x, y = np.unique(brute.blobs(5), axis=0), np.unique(brute.blobs(6), axis=0)
-    test = frame(spark, x).withColumnRenamed("id", "t")
-    found = neighbours.nearest(test, frame(spark, y), COLUMNS, 5, "t", "id", pivots=pivots)
+    point = blocks.as_point(COLUMNS)
+    test = frame(spark, x).withColumnRenamed("id", "t").withColumn("_x", point)
+    train = frame(spark, y).withColumn("_x", point)
+    found = neighbours.nearest(test, train, 5, "t", "id", pivots=pivots)
     got = {(r["t"], r["place"]): (r["id"], r["distance"]) for r in found.collect()}
     d = brute.distances(x, y)
     for t in range(len(x)):
