@@ -40,11 +40,7 @@ def cluster_count(df: DataFrame, cluster: str, noise: int = -1) -> DataFrame:
 
 
 def labelled_points(
-    df: DataFrame, columns: Sequence[str], cluster: str, label: str, fraction: float | None = None
+    df: DataFrame, columns: Sequence[str], cluster: str, label: str
 ) -> DataFrame:
-    """Cluster, class and coordinates, the data of a scatter plot (K-14).
-
-    ``fraction`` takes a random sample for export.
-    """
-    points = df.select(cluster, label, *columns)
-    return points if fraction is None else points.sample(fraction, seed=0)
+    """Cluster, class and coordinates, the data of a scatter plot (K-14)."""
+    return df.select(cluster, label, *columns)

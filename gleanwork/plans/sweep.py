@@ -17,7 +17,7 @@ from gleanwork.operators.dbscan import dbscan
 from gleanwork.operators.mean_shift import mean_shift
 from gleanwork.operators.preparation import numeric_columns
 from gleanwork.operators.silhouette import mean_silhouette
-from gleanwork.session import settle
+from gleanwork.session import settle, side_by_side
 
 # --- fixed values -----------------------------------------------------------
 # [start, end, step] with an exclusive end where the first value is an int,
@@ -213,14 +213,14 @@ def cluster_search(
     ``algorithm`` share one fit.
     """
     score = scorer or silhouette_scorer(id_col, columns)
-    known: dict[tuple, float | None] = {}
-    found = []
-    for params in tried:
-        key = tuple((k, v) for k, v in params.items() if k != "algorithm")
-        if key not in known:
-            known[key] = score(settle(cluster(model, params, df, id_col, columns, seed)))
-        found.append((params, known[key]))
-    return found
+    key = lambda params: tuple((k, v) for k, v in params.items() if k != "algorithm")
+    distinct = {key(params): params for params in tried}
+    scores = side_by_side(
+        lambda params: score(settle(cluster(model, params, df, id_col, columns, seed))),
+        distinct.values(),
+    )
+    known = dict(zip(distinct, scores))
+    return [(params, known[key(params)]) for params in tried]
 
 
 def clustering_sweep(
@@ -260,12 +260,13 @@ def refit(
 ) -> list[DataFrame]:
     """The chosen model on every feature set: ``<id, label, features, cluster>``
     tables (K-13)."""
-    made = []
-    for features in feature_sets:
+
+    def fit(features: Sequence[str]) -> DataFrame:
         columns = list(features)
         scaled = scalers.scale(df.select(id_col, label, *columns), columns, scaler)
-        made.append(settle(cluster(model, params, settle(scaled), id_col, columns, seed)))
-    return made
+        return settle(cluster(model, params, settle(scaled), id_col, columns, seed))
+
+    return side_by_side(fit, feature_sets)
 
 
 def refit_report(refitted: Sequence[DataFrame], label: str) -> DataFrame:

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -62,6 +66,18 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(work: Callable, items: Iterable, width: int = 4) -> list[Any]:
+    """``work`` of every item, in order, with a few Spark jobs at a time.
+
+    For independent fits and scores: the short last tasks of one job overlap
+    with the next job.
+    """
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(width) as pool:
+        tasks = [pool.submit(inherit(work), item) for item in items]
+        return [task.result() for task in tasks]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for an input that arrives in fewer partitions than cores.
 

@@ -83,3 +83,43 @@ def mean_shift(x, bandwidth, cluster_all):
     if not cluster_all:
         labels = np.where(d.min(axis=1) <= bandwidth, labels, -1)
     return labels.tolist()
+
+
+def mixture(x, start, k, covariance, tolerance=1e-3, rounds=100):
+    """Expectation maximisation on rows, from given labels."""
+    n, d = x.shape
+
+    def estimate(r):
+        weight = r.sum(axis=0)
+        mean = r.T @ x / weight[:, None]
+        cov = np.zeros((k, d, d))
+        for c in range(k):
+            away = x - mean[c]
+            cov[c] = (r[:, c, None] * away).T @ away / weight[c]
+        if covariance == "tied":
+            cov[:] = (cov * weight[:, None, None]).sum(axis=0) / n
+        elif covariance == "diag":
+            cov = np.array([np.diag(np.diag(c)) for c in cov])
+        elif covariance == "spherical":
+            cov = np.array([np.eye(d) * np.diag(c).mean() for c in cov])
+        return weight / n, mean, cov + 1e-6 * np.eye(d)
+
+    def expect(model):
+        share, mean, cov = model
+        dens = np.zeros((n, k))
+        for c in range(k):
+            away = x - mean[c]
+            square = np.einsum("ni,ij,nj->n", away, np.linalg.inv(cov[c]), away)
+            scale = np.sqrt((2 * np.pi) ** d * np.linalg.det(cov[c]))
+            dens[:, c] = share[c] * np.exp(-square / 2) / scale
+        total = dens.sum(axis=1)
+        return dens / total[:, None], np.log(total).mean()
+
+    model, before = estimate(np.eye(k)[np.asarray(start)]), -np.inf
+    for _ in range(rounds):
+        r, likelihood = expect(model)
+        model = estimate(r)
+        if abs(likelihood - before) < tolerance:
+            break
+        before = likelihood
+    return expect(model)[0].argmax(axis=1).tolist()
