@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanwork.functions.joins import attach
 from gleanwork.session import settle
 
 BLOCK_ROWS = 512
@@ -33,7 +34,7 @@ def as_point(columns: Sequence[str]) -> Column:
 
 def weighted_points(df: DataFrame, id_col: str, columns: Sequence[str], *also: str) -> DataFrame:
     """Distinct points ``_x`` with the number of rows ``w`` and the smallest id
-    ``pid``.
+    ``pid``. Ids have to be unique.
 
     Everything quadratic runs on these: repeated rows cost nothing.
     """
@@ -43,6 +44,16 @@ def weighted_points(df: DataFrame, id_col: str, columns: Sequence[str], *also: s
     )
 
 
+def with_clusters(
+    df: DataFrame, columns: Sequence[str], labelled: DataFrame, total: int | None = None
+) -> DataFrame:
+    """Rows of ``df`` with the ``cluster`` of their point, from
+    ``<_x, w, cluster>``."""
+    kept = [c for c in df.columns if c != "cluster"]
+    rows = df.select(*kept, as_point(columns).alias("_x"))
+    return attach(rows, labelled, ["_x"], "w", total).select(*kept, "cluster")
+
+
 def packed(
     points: DataFrame,
     key: str,

@@ -160,13 +160,17 @@ def sweep(
     thresholds: Sequence[float],
     depths: Sequence[int],
     last_query: int | None = None,
+    repeated: bool = False,
 ) -> DataFrame:
     """Means for every (threshold, depth) in one job (W-8, W-9).
 
     The run is cut once to the lowest threshold and the largest depth; running
     values are computed once and each setting sums a prefix of them.
-    ``last_query`` leaves out the queries numbered above it.
+    ``last_query`` leaves out the queries numbered above it; ``repeated`` tells
+    that the run can list a pair more than once.
     """
+    if repeated:
+        scores = distinct_run(scores)
     judgments = _upto(judgments, last_query)
     run = top_k(_upto(scores, last_query), max(depths), min(thresholds))
     settings = F.array(

@@ -61,7 +61,12 @@ def test_sweep_equals_the_loop(spark, seed):
     judged, run = random_case(seed)
     thresholds, depths, last = [0.1, 0.5, 0.97], [1, 3, 30], 11
     made = evaluation.sweep(
-        spark.createDataFrame(run, RUN), spark.createDataFrame(judged, JUDGED), thresholds, depths, last
+        spark.createDataFrame(run + [(q, d, s / 2) for q, d, s in run], RUN),
+        spark.createDataFrame(judged, JUDGED),
+        thresholds,
+        depths,
+        last,
+        repeated=True,
     )
     got = {(r["threshold"], r["depth"]): r for r in made.collect()}
     assert len(got) == 9
