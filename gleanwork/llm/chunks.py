@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -78,9 +79,9 @@ def parcels(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     )
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """``docs`` as parcels of Arrow streams, one per chunk. It needs a column
-    ``text``; the chunk number is the partition and the place in it."""
+def chunked(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` as parcels of Arrow streams, one per chunk, whole rows in the
+    struct ``row``. The chunk number is the partition and the place in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -91,14 +92,15 @@ def chunked(docs: DataFrame) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
-            options = pa.ipc.IpcWriteOptions(compression="zstd")
+            options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
             with pa.ipc.new_stream(sink, held[0].schema, options=options) as stream:
                 for part in held:
                     stream.write_batch(part)
             return parcels([(chunk, -1, sink.getvalue().to_pybytes())]).to_batches()[0]
 
         for batch in batches:
-            sizes = pa.compute.binary_length(batch["text"]).fill_null(0).to_numpy(False)
+            texts = pa.compute.struct_field(batch["row"], text_col)
+            sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(False)
             start = 0
             for i, size in enumerate(sizes.tolist()):
                 if held or i > start:
@@ -113,12 +115,12 @@ def chunked(docs: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    return docs.mapInArrow(run, PARCEL)
+    return docs.select(F.struct("*").alias("row")).mapInArrow(run, PARCEL)
 
 
-def opened(data: bytes) -> pa.Table:
-    """The documents of a chunk."""
-    return pa.ipc.open_stream(data).read_all()
+def opened(data: bytes) -> pa.ChunkedArray:
+    """The documents of a chunk, as structs."""
+    return pa.ipc.open_stream(data).read_all()["row"]
 
 
 class WordHashes:
@@ -136,6 +138,13 @@ class WordHashes:
         return np.fromiter(map(held.__getitem__, words), np.uint64, len(words))
 
 
+def release(df: DataFrame) -> DataFrame:
+    """``df``, a table just written. Lets Spark remove the shuffle files of
+    finished jobs now: it does so for those that the driver's JVM has collected."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 def grouped(parcel_rows: DataFrame, column: str, function) -> DataFrame:
     """Parcels with equal ``column`` together through ``function``."""
     return parcel_rows.groupBy(F.col(column)).applyInArrow(function, PARCEL)

@@ -9,8 +9,11 @@ form the maximal repeats.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +27,7 @@ from gleanwork.llm.chunks import (
     opened,
     packed,
     parcels,
+    release,
     shard_count,
     unpacked,
 )
@@ -45,17 +49,23 @@ def runs(hashes: np.ndarray, size: int, base: int) -> np.ndarray:
     return mixed(total)
 
 
+class Names(NamedTuple):
+    """Columns of the input."""
+
+    id: str
+    text: str
+
+
 class Chunk:
     """The documents of a chunk as one array of word hashes."""
 
-    def __init__(self, data: bytes, span: int, seed: int, hashes: WordHashes):
+    def __init__(self, data: bytes, names: Names, span: int, seed: int, hashes: WordHashes):
         self.docs = opened(data)
-        self.words: list[list[bytes]] = [
-            (t.as_py() or "").encode().split() for t in self.docs["text"]
-        ]
-        ids = self.docs["doc_id"]
+        texts = pa.compute.struct_field(self.docs, names.text)
+        self.words: list[list[bytes]] = [(t.as_py() or "").encode().split() for t in texts]
+        ids = pa.compute.struct_field(self.docs, names.id).cast(pa.int64())
         # Null ids come after all others.
-        self.ids = ids.fill_null(_LAST).to_numpy().astype(np.int64)
+        self.ids = ids.fill_null(_LAST).to_numpy()
         counts = np.fromiter(map(len, self.words), np.int64, len(self.words))
         self.begins = np.cumsum(counts) - counts
         parts = [hashes(w) for w in self.words]
@@ -135,15 +145,8 @@ def repeated_passages(
     words. Repeated rows appear each, empty tables give no rows, other columns
     stay inside the struct ``row``.
     """
-    packed_docs = settle(
-        chunked(
-            docs.select(
-                F.struct("*").alias("row"),
-                F.col(id_col).cast("long").alias("doc_id"),
-                F.col(text_col).alias("text"),
-            )
-        )
-    )
+    names = Names(id_col, text_col)
+    packed_docs = settle(chunked(docs, text_col))
     shards = shard_count(packed_docs.count())
     row_type = packed_docs.sparkSession.createDataFrame([], docs.schema).select(F.struct("*").alias("row"))
     row_ddl = row_type.schema["row"].dataType.simpleString()
@@ -152,7 +155,7 @@ def repeated_passages(
         hashes = WordHashes()
         for batch in batches:
             for number, data in zip(batch["chunk"].to_pylist(), batch["data"]):
-                chunk = Chunk(data.as_py(), span, seed, hashes)
+                chunk = Chunk(data.as_py(), names, span, seed, hashes)
                 anchors, many = chunk.questions()
                 yield from parcels(_sent(number, shards, anchors, many)).to_batches()
 
@@ -192,7 +195,7 @@ def repeated_passages(
         """Ask for the least id of every window around a shared anchor."""
         answers = _answers(rows)
         number = rows["chunk"][0].as_py()
-        chunk = Chunk(answers.pop(-1), span, seed, WordHashes())
+        chunk = Chunk(answers.pop(-1), names, span, seed, WordHashes())
         _, _, one, two, least = least_of(chunk, answers)
         return parcels(_sent(number, shards, one, two, least.view(np.uint64)))
 
@@ -224,7 +227,7 @@ def repeated_passages(
 
     def cut(rows: pa.Table) -> pa.Table:
         answers = _answers(rows)
-        chunk = Chunk(answers.pop(-1), span, seed, WordHashes())
+        chunk = Chunk(answers.pop(-1), names, span, seed, WordHashes())
         anchors = {p: d for p, d in answers.items() if p < shards}
         chosen, group, one, two, least = least_of(chunk, anchors)
         for data in (d for p, d in answers.items() if p >= shards):
@@ -254,7 +257,7 @@ def repeated_passages(
         counts = [len(w) for w in chunk.words]
         return pa.table(
             {
-                "row": chunk.docs["row"],
+                "row": chunk.docs,
                 "n_words": pa.array(counts, pa.int64()),
                 "spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))),
                 "kept_text": pa.array(kept, pa.string()),
@@ -262,9 +265,9 @@ def repeated_passages(
         )
 
     questions = packed_docs.mapInArrow(ask, PARCEL)
-    shared = settle(grouped(questions, "part", join_on_anchors))
+    shared = release(settle(grouped(questions, "part", join_on_anchors)))
     asked = grouped(packed_docs.unionByName(shared), "chunk", extend)
-    lower = settle(grouped(asked, "part", join_on_windows))
+    lower = release(settle(grouped(asked, "part", join_on_windows)))
     every = packed_docs.unionByName(shared).unionByName(lower)
     return every.groupBy("chunk").applyInArrow(
         cut, f"row {row_ddl}, n_words long, spans array<array<bigint>>, kept_text string"
