@@ -32,16 +32,17 @@ def split_join(rows: DataFrame, groups: DataFrame, keys: list[str], total: int,
 
     At most ``HOT_BYTES / width`` groups can hold more than the share ``limit /
     total``, so those are broadcast and their rows meet in no task. All others
-    are joined by a shuffle whose large partitions adaptive execution splits.
+    are joined by a shuffle at every size, so cost follows the input; adaptive
+    execution splits its large partitions.
     """
     limit = max(1_000, total * width // HOT_BYTES)
     hot = groups.filter(F.col("_n") > limit)
     if hot.isEmpty():
-        return rows.join(groups, keys, "left")
+        return rows.join(groups.hint("merge"), keys, "left")
     marked = rows.join(F.broadcast(hot), keys, "left")
     rest = marked.filter(F.col("_n").isNull()).select(*rows.columns)
     return marked.filter(F.col("_n").isNotNull()).unionByName(
-        rest.join(groups.filter(F.col("_n") <= limit), keys, "left")
+        rest.join(groups.filter(F.col("_n") <= limit).hint("merge"), keys, "left")
     )
 
 
