@@ -111,21 +111,31 @@ def table_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zero tax counts as missing, so there is something to fill."""
-    return lineitem(spark, sf_dir).select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_quantity",
-        F.nullif("l_tax", F.lit(0.0)).alias("l_tax"),
-    )
+    return lineitem(spark, sf_dir).withColumn("l_tax", F.nullif("l_tax", F.lit(0.0)))
+
+
+COLUMNS = [
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+]
 
 
 @register(
     "a8_missing_counts",
-    """select 'l_orderkey' as "column", count(*) filter (l_orderkey is null) as missing
-       from lineitem
-       union all select 'l_linenumber', count(*) filter (l_linenumber is null) from lineitem
-       union all select 'l_quantity', count(*) filter (l_quantity is null) from lineitem
-       union all select 'l_tax', count(*) filter (nullif(l_tax, 0.0) is null) from lineitem""",
+    " union all ".join(
+        f"""select '{c}' as "column", count(*) filter ({c} is null) as missing
+            from (select * replace (nullif(l_tax, 0.0) as l_tax) from lineitem)"""
+        for c in COLUMNS
+    ),
 )
 def missing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.missing_counts(with_gaps(spark, sf_dir))
@@ -193,7 +203,7 @@ def density(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+NUMBERS = COLUMNS[:8]
 
 
 @register(
@@ -210,8 +220,8 @@ def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "a13_fill_means",
-    """select l_orderkey::double as l_orderkey, l_linenumber::double as l_linenumber, l_quantity,
-              round(coalesce(nullif(l_tax, 0.0), avg(nullif(l_tax, 0.0)) over ()), 8) as l_tax
+    """select * replace (round(coalesce(nullif(l_tax, 0.0), avg(nullif(l_tax, 0.0)) over ()), 8)
+                         as l_tax)
        from lineitem""",
 )
 def fill_means(spark: SparkSession, sf_dir: str) -> DataFrame:

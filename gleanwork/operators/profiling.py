@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions.joins import bounded_broadcast
 from gleanwork.functions.quantiles import exact_quantiles
+from gleanwork.operators.preparation import is_missing
 from gleanwork.operators.preparation import numeric_columns
 
 
@@ -47,8 +48,8 @@ def first_rows(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
-    """``<column, missing>`` in one pass (A-8)."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    """``<column, missing>`` in one pass (A-8); NULL and NaN are missing."""
+    counted = df.agg(*[F.count_if(is_missing(f)).alias(f.name) for f in df.schema])
     return _long(counted, {c: F.col(c) for c in df.columns}, "column", "missing")
 
 

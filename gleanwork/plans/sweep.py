@@ -6,7 +6,6 @@ from collections.abc import Callable, Mapping, Sequence
 from itertools import product
 from typing import Any
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,8 +50,8 @@ Scorer = Callable[[DataFrame], float | None]
 def expanded(values: Sequence) -> list:
     """The range ``start, end, step`` where three values start with an int,
     else the values themselves (C-1, K-10). Repeated values are tried once."""
-    if type(values[0]) is int and len(values) == 3:
-        return [int(v) for v in np.arange(values[0], values[1], values[2])]
+    if len(values) == 3 and type(values[0]) is int:
+        return list(range(*map(int, values)))
     return list(dict.fromkeys(values))
 
 
@@ -167,29 +166,28 @@ def classification_sweep(
 # --- clustering -------------------------------------------------------------
 
 
+# How each model takes its parameters.
+CLUSTERINGS: dict[str, Callable[..., DataFrame]] = {
+    "kmeans": lambda df, on, seed, p: kmeans(
+        df, *on, int(p["n_clusters"]), int(p["n_init"]), seed
+    ),
+    "gmm": lambda df, on, seed, p: gaussian_mixture(
+        df, *on, int(p["n_components"]), p["covariance_type"], p["init_params"], seed
+    ),
+    "dbscan": lambda df, on, seed, p: dbscan(df, *on, float(p["eps"]), int(p["min_samples"])),
+    "meanshift": lambda df, on, seed, p: mean_shift(
+        df, *on, float(p["bandwidth"]), bool(p["cluster_all"])
+    ),
+}
+
+
 def cluster(
     model: str, params: Mapping, df: DataFrame, id_col: str, columns: Sequence[str], seed: int = 0
 ) -> DataFrame:
     """Add ``cluster`` by the named model (K-1 to K-4)."""
-    if model == "kmeans":
-        return kmeans(df, id_col, columns, int(params["n_clusters"]), int(params["n_init"]), seed)
-    if model == "gmm":
-        return gaussian_mixture(
-            df,
-            id_col,
-            columns,
-            int(params["n_components"]),
-            params["covariance_type"],
-            params["init_params"],
-            seed,
-        )
-    if model == "dbscan":
-        return dbscan(df, id_col, columns, float(params["eps"]), int(params["min_samples"]))
-    if model == "meanshift":
-        return mean_shift(
-            df, id_col, columns, float(params["bandwidth"]), bool(params["cluster_all"])
-        )
-    raise ValueError(f"unknown model: {model}")
+    if model not in CLUSTERINGS:
+        raise ValueError(f"unknown model: {model}")
+    return CLUSTERINGS[model](df, (id_col, columns), seed, params)
 
 
 def silhouette_scorer(id_col: str, columns: Sequence[str]) -> Scorer:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanwork.functions.numbering import numbered
@@ -22,7 +22,8 @@ def read_tagged(spark: SparkSession, path: str) -> DataFrame:
     before ``.W`` are skipped; a record may have an empty body.
     """
     records = spark.read.option("lineSep", "\n" + RECORD_MARK).text(path)
-    record = F.regexp_replace("value", r"^\.I ", "")
+    # Line ends may be those of Windows.
+    record = F.regexp_replace(F.regexp_replace("value", r"\r(\n|\z)", "$1"), r"^\.I ", "")
     return records.select(
         F.regexp_extract(record, r"^\s*(\S+)", 1).alias("source_id"),
         F.rtrim(
@@ -63,13 +64,37 @@ def _fields(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_judgments(spark: SparkSession, path: str) -> DataFrame:
-    """``<query_id, doc_id, code>`` from blank-separated lines (S-3)."""
-    return _fields(spark, path).select(
-        F.get("f", F.lit(0)).cast("bigint").alias("query_id"),
-        F.get("f", F.lit(1)).cast("bigint").alias("doc_id"),
-        F.get("f", F.lit(2)).cast("int").alias("code"),
-    )
+def _split_rows(fields: DataFrame, good: Column, values: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows of the good lines whose values all fit, and the other lines."""
+    fits = (F.size("f") == 3) & good
+    for value in values:
+        fits &= value.isNotNull()
+    checked = fields.withColumn("good", F.coalesce(fits, F.lit(False)))
+    rejected = checked.filter(~F.col("good")).select(F.col("value").alias("line"))
+    return checked.filter("good").select(*values), rejected
+
+
+def _strictly(rows: DataFrame, rejected: DataFrame, strict: bool) -> DataFrame:
+    bad = rejected.first() if strict else None
+    if bad is not None:
+        raise ValueError(f"each line should hold three numbers: {bad['line']!r}")
+    return rows
+
+
+def _number(at: int, kind: str, name: str) -> Column:
+    return F.get("f", F.lit(at)).try_cast(kind).alias(name)
+
+
+def check_judgments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Split judgment lines into good rows and rejected lines (S-3)."""
+    values = [_number(0, "bigint", "query_id"), _number(1, "bigint", "doc_id"), _number(2, "int", "code")]
+    return _split_rows(_fields(spark, path), F.lit(True), values)
+
+
+def read_judgments(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """``<query_id, doc_id, code>`` from lines of exactly three blank-separated
+    numbers (S-3). With ``strict`` any other line raises an error that quotes it."""
+    return _strictly(*check_judgments(spark, path), strict)
 
 
 def write_judgments(judgments: DataFrame, path: str) -> None:
@@ -82,18 +107,16 @@ def check_run(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     fields = _fields(spark, path)
     digits = r"^\p{Nd}+$"
     good = (
-        (F.size("f") == 3)
-        & F.get("f", F.lit(0)).rlike(digits)
+        F.get("f", F.lit(0)).rlike(digits)
         & F.get("f", F.lit(1)).rlike(digits)
         & F.get("f", F.lit(2)).rlike(SCORE_PATTERN)
     )
-    checked = fields.withColumn("good", F.coalesce(good, F.lit(False)))
-    rows = checked.filter("good").select(
-        F.get("f", F.lit(0)).try_cast("bigint").alias("query_id"),
-        F.get("f", F.lit(1)).try_cast("bigint").alias("doc_id"),
-        F.get("f", F.lit(2)).try_cast("double").alias("score"),
-    )
-    return rows, checked.filter(~F.col("good")).select(F.col("value").alias("line"))
+    values = [
+        _number(0, "bigint", "query_id"),
+        _number(1, "bigint", "doc_id"),
+        _number(2, "double", "score"),
+    ]
+    return _split_rows(fields, good, values)
 
 
 def read_run(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -102,12 +125,7 @@ def read_run(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     Ranks come from the scores, not from the order of the lines. With
     ``strict`` a malformed line raises an error that quotes it.
     """
-    rows, rejected = check_run(spark, path)
-    if strict:
-        bad = rejected.first()
-        if bad is not None:
-            raise ValueError(f"each line should hold three numbers: {bad['line']!r}")
-    return rows
+    return _strictly(*check_run(spark, path), strict)
 
 
 def write_run(run: DataFrame, path: str) -> None:

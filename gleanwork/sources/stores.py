@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanwork.functions.numbering import numbered
+from gleanwork.operators.index import BLOCK_SIZE
 
 
 def write_index(index: DataFrame, path: str) -> None:
@@ -33,38 +34,73 @@ def write_index_csv(index: DataFrame, path: str) -> None:
     rows.write.option("header", True).option("escape", '"').csv(path)
 
 
+def _block_of(doc_id: Column) -> Column:
+    return F.floor(doc_id / F.lit(BLOCK_SIZE))
+
+
 def read_index_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read that CSV and turn the document text into numbers again (S-8)."""
-    lines = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .schema("row_no bigint, Term string, Block bigint, Document string")
-        .csv(path)
-    )
-    return lines.select(
-        F.col("Term").alias("term"),
-        F.col("Block").alias("block"),
-        F.from_json("Document", T.ArrayType(T.LongType())).alias("doc_ids"),
+    """Read that CSV and turn the document text into numbers again (S-8).
+
+    Columns are found by their names. Without ``Block`` a term's documents are
+    cut into blocks here. Text that is no list of numbers raises an error.
+    """
+    lines = spark.read.option("header", True).option("escape", '"').csv(path)
+    listed = F.from_json("Document", T.ArrayType(T.LongType()))
+    message = F.concat(F.lit("no list of documents: "), F.coalesce("Document", F.lit("nothing")))
+    bad = listed.isNull() | F.exists(listed, lambda d: d.isNull())
+    doc_ids = F.when(bad, F.raise_error(message)).otherwise(listed)
+    if "Block" in lines.columns:
+        return lines.select(
+            F.col("Term").alias("term"), F.col("Block").cast("bigint").alias("block"), doc_ids.alias("doc_ids")
+        )
+    whole = lines.select(F.col("Term").alias("term"), doc_ids.alias("all_ids"))
+    blocks = F.array_distinct(F.transform("all_ids", _block_of))
+    return whole.select("term", "all_ids", F.explode(blocks).alias("block")).select(
+        "term",
+        "block",
+        F.filter("all_ids", lambda d: _block_of(d) == F.col("block")).alias("doc_ids"),
     )
 
 
-def read_table_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """A learning table with a header row (S-9). Types are inferred unless a
-    schema is given; ``NaN`` and empty fields of numbers become NULL."""
-    reader = spark.read.option("header", True)
-    table = reader.schema(schema).csv(path) if schema else reader.option(
-        "inferSchema", True
-    ).csv(path)
-    return table.select(
+# --- fixed values -----------------------------------------------------------
+MISSING_MARKS = ["", "NA", "N/A", "n/a", "NaN", "nan", "-nan", "NULL", "null", "None", "<NA>", "#N/A"]
+# ----------------------------------------------------------------------------
+
+#: Types tried in this order; the first that all values of a column fit.
+INFERRED = ["int", "bigint", "double", "boolean", "timestamp"]
+
+
+def read_table_csv(
+    spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = True
+) -> DataFrame:
+    """A learning table with a header row (S-9).
+
+    Quotes in quoted fields are doubled. The missing marks become NULL in every
+    column. Types are inferred in one pass over all rows unless a schema is
+    given; a value that does not fit a given type raises an error. Fields may
+    hold line ends; without them ``multi_line=False`` lets one large file be
+    read by many tasks.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    raw = reader.csv(path)
+    text = raw.select(
+        *[F.when(~F.col(f"`{c}`").isin(MISSING_MARKS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
+    )
+    if schema:
+        wanted = spark.createDataFrame([], schema).schema
+        return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
+    tried = text.agg(
         *[
-            F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f.name)
-            for f in table.schema
+            F.array(*[F.count(F.col(f"`{c}`").try_cast(t)) for t in ("string", *INFERRED)]).alias(f"c{i}")
+            for i, c in enumerate(text.columns)
         ]
-    )
+    ).first()
+    kinds = [
+        next((t for t, n in zip(INFERRED, fits[1:]) if n == fits[0] > 0), "string") for fits in tried
+    ]
+    return text.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in zip(text.columns, kinds)])
 
 
 def write_table_csv(df: DataFrame, path: str) -> None:
     """CSV with a header row in every part file."""
-    df.write.option("header", True).csv(path)
+    df.write.option("header", True).option("escape", '"').csv(path)

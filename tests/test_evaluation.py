@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from gleanwork.operators import evaluation
@@ -8,39 +9,23 @@ RUN = "query_id bigint, doc_id bigint, score double"
 JUDGED = "query_id bigint, doc_id bigint, code int"
 
 
-def loop(judged, run, k, e, last):
-    """The measures stated as a loop over each ranked list."""
-    key = {}
-    for q, d, _ in judged:
-        key.setdefault(q, set()).add(d)
-    lists = {}
-    for q, d, s in sorted(run, key=lambda r: (r[0], -r[2], r[1])):
-        if s > e and len(lists.setdefault(q, [])) < k:
-            lists[q].append(d)
-    lists = {q: ds for q, ds in lists.items() if ds}
+def expected(judged, run, depth, threshold, last):
+    """Both means from their definitions: the precision where the recall first
+    exceeds each milestone, and the recall at as many documents as are relevant."""
     precisions, recalls = [], []
-    for q in range(1, last + 1):
-        if q not in key:
-            continue
-        if q not in lists:
+    for q in sorted({q for q, _, _ in judged if q <= last}):
+        relevant = {d for p, d, _ in judged if p == q}
+        best = sorted((-s, d) for p, d, s in run if p == q and s > threshold)[:depth]
+        if not best:
             recalls.append(0.0)
             continue
-        hits, step, at_step, recorded = 0, 0.1, [], 0.0
-        for seen, d in enumerate(lists[q], 1):
-            if d not in key[q]:
-                continue
-            hits += 1
-            recall = hits / len(key[q])
-            if seen <= len(key[q]):
-                recorded = recall
-            while recall > step:
-                at_step.append(hits / seen)
-                step += 0.1
-        if at_step:
-            precisions.append(sum(at_step) / len(at_step))
-            recalls.append(recorded)
-    mean = lambda v: sum(v) / len(v) if v else None
-    return mean(precisions), mean(recalls)
+        hits = np.cumsum([d in relevant for _, d in best])
+        passed = [np.flatnonzero(hits / len(relevant) > m) for m in evaluation.MILESTONES]
+        at = [int(p[0]) for p in passed if len(p)]
+        if at:
+            precisions.append(np.mean([hits[i] / (i + 1) for i in at]))
+            recalls.append(hits[min(len(relevant), len(hits)) - 1] / len(relevant))
+    return tuple(float(np.mean(v)) if v else None for v in (precisions, recalls))
 
 
 def random_case(seed):
@@ -57,7 +42,7 @@ def random_case(seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_sweep_equals_the_loop(spark, seed):
+def test_sweep_equals_the_definitions(spark, seed):
     judged, run = random_case(seed)
     thresholds, depths, last = [0.1, 0.5, 0.97], [1, 3, 30], 11
     made = evaluation.sweep(
@@ -72,7 +57,7 @@ def test_sweep_equals_the_loop(spark, seed):
     assert len(got) == 9
     for e in thresholds:
         for k in depths:
-            precision, recall = loop(judged, run, k, e, last)
+            precision, recall = expected(judged, run, k, e, last)
             row = got[e, k]
             assert row["mean_average_precision"] == (
                 None if precision is None else pytest.approx(precision)

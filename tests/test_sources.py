@@ -89,3 +89,56 @@ def test_table_csv(spark, tmp_path):
     table = stores.read_table_csv(spark, str(tmp_path / "t.csv"))
     assert [f.dataType.simpleString() for f in table.schema] == ["int", "int", "double", "string"]
     assert [r["delay"] for r in table.orderBy("id").collect()] == [None, 2.5, 1.5]
+
+
+def test_tagged_file_with_windows_line_ends(spark, tmp_path):
+    path = tmp_path / "crlf"
+    path.write_bytes(b".I 1\r\n.W\r\nfirst line\r\nsecond\r\n.I 2\r\n.T\r\nx\r\n.W\r\n.I 3\r\n.W\r\nlast")
+    rows = records.read_documents(spark, str(path)).orderBy("doc_id").collect()
+    assert [tuple(r) for r in rows] == [(1, "first line\nsecond"), (2, ""), (3, "last")]
+
+
+def test_judgment_lines_need_three_numbers(spark, tmp_path):
+    path = tmp_path / "judgments"
+    path.write_text("1 2  3 \n1 2 3 4\n5 6\n1 99999999999999999999 2\n7 8 -1\n")
+    rows, rejected = records.check_judgments(spark, str(path))
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, 2, 3), (7, 8, -1)]
+    assert rejected.count() == 3
+    with pytest.raises(ValueError):
+        records.read_judgments(spark, str(path))
+
+
+def test_run_lines_with_numbers_that_do_not_fit(spark, tmp_path):
+    path = tmp_path / "run"
+    path.write_text("99999999999999999999 3 0.4\n1 2 0.5\n")
+    rows, rejected = records.check_run(spark, str(path))
+    assert [tuple(r) for r in rows.collect()] == [(1, 2, 0.5)]
+    assert rejected.count() == 1
+
+
+def test_index_without_blocks(spark, tmp_path):
+    path = tmp_path / "index"
+    path.write_text(',Term,Document\n0,flow,"[3, 65540, 7]"\n1,wing,[2]\n')
+    rows = stores.read_index_csv(spark, str(path)).collect()
+    assert sorted((r[0], r[1], sorted(r[2])) for r in rows) == [
+        ("flow", 0, [3, 7]),
+        ("flow", 1, [65540]),
+        ("wing", 0, [2]),
+    ]
+    path = tmp_path / "broken"
+    path.write_text(",Term,Document\n0,flow,none\n")
+    with pytest.raises(Exception, match="no list of documents"):
+        stores.read_index_csv(spark, str(path)).collect()
+
+
+def test_table_csv_quotes_and_missing_marks(spark, tmp_path):
+    path = tmp_path / "table"
+    path.write_text('id,said,n,x\n1,"he said ""hi, x""",4,0.5\n2,"two\nlines",NA,\n3,null,9999999999,nan\n')
+    table = stores.read_table_csv(spark, str(path))
+    assert [t for _, t in table.dtypes] == ["int", "string", "bigint", "double"]
+    rows = [tuple(r) for r in table.orderBy("id").collect()]
+    assert rows == [
+        (1, 'he said "hi, x"', 4, 0.5),
+        (2, "two\nlines", None, None),
+        (3, None, 9999999999, None),
+    ]

@@ -129,3 +129,25 @@ def test_joins_of_hot_groups(spark):
     for small in (True, False):
         got = term_join(large, groups, "k", "id", small).select("k", "id", "n", "first")
         assert sorted(map(tuple, got.collect())) == want
+
+
+def test_nan_is_missing_and_integers_stay(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame(
+        [(big, 1.0, None), (2, float("nan"), 4), (3, None, 5)], "id bigint, x double, n int"
+    )
+    missing = {r["column"]: r["missing"] for r in profiling.missing_counts(df).collect()}
+    assert missing == {"id": 0, "x": 2, "n": 1}
+    filled = preparation.fill_means(df)
+    assert [t for _, t in filled.dtypes] == ["bigint", "double", "double"]
+    assert sorted(tuple(r) for r in filled.collect()) == [(2, 1.0, 4.0), (3, 1.0, 5.0), (big, 1.0, 4.5)]
+
+
+@pytest.mark.parametrize("limit", [1, 10, 10_000_000])
+def test_quantiles_do_not_depend_on_the_limit(spark, limit):
+    values = [float(v) for v in range(50)] + [float("nan")] * 20 + [None] * 3 + [7.0] * 40
+    df = spark.createDataFrame([(v, 1.5) for v in values], "a double, b double")
+    numbers = sorted(v for v in values if v is not None and v == v)
+    want = [float(np.quantile(numbers, q)) for q in (0, 0.1, 0.25, 0.5, 0.99, 1)]
+    got = exact_quantiles(df, ["a", "b"], [0, 0.1, 0.25, 0.5, 0.99, 1], limit)
+    assert got == {"a": pytest.approx(want, abs=1e-12), "b": [1.5] * 6}
