@@ -201,7 +201,8 @@ def repeated_passages(
 
     def join_on_windows(rows: pa.Table) -> pa.Table:
         """For every chunk, the windows that start in a document elsewhere
-        with a smaller id than any of its own, and that id."""
+        with a smaller id than any of its own (as bits in the order of its
+        question), and that id."""
         held = [unpacked(d) for d in rows["data"].to_pylist()]
         one, two, least = (np.concatenate([h[i] for h in held]) for i in range(3))
         least = least.view(np.int64)
@@ -214,30 +215,29 @@ def repeated_passages(
         np.minimum.at(lowest, group, least)
         below, lowest = lowest[group] < least, lowest[group]
         answers, at = [], 0
-        for chunk, part, (own, other, _) in zip(
+        for chunk, part, (own, _, _) in zip(
             rows["chunk"].to_pylist(), rows["part"].to_pylist(), held
         ):
             mine = below[at : at + len(own)]
             value = lowest[at : at + len(own)][mine].view(np.uint64)
             at += len(own)
             if len(value):
-                # Parts up to 2**16 are the answers on anchors.
-                answers.append((chunk, shards + part, packed(own[mine], other[mine], value)))
+                # Parts below `shards` are the answers on anchors.
+                answers.append((chunk, shards + part, packed(np.packbits(mine), value)))
         return parcels(answers)
 
     def cut(rows: pa.Table) -> pa.Table:
         answers = _answers(rows)
         chunk = Chunk(answers.pop(-1), names, span, seed, WordHashes())
         anchors = {p: d for p, d in answers.items() if p < shards}
-        chosen, group, one, two, least = least_of(chunk, anchors)
-        for data in (d for p, d in answers.items() if p >= shards):
-            a, b, value = unpacked(data)
-            # Keys are distinct in a chunk; equal first hashes are told apart by the second.
-            at = np.searchsorted(one, a)
-            while len(a):
-                hit = two[at] == b
-                least[at[hit]] = np.minimum(least[at[hit]], value[hit].view(np.int64))
-                a, b, value, at = a[~hit], b[~hit], value[~hit], at[~hit] + 1
+        chosen, group, one, _, least = least_of(chunk, anchors)
+        order, bounds = by_shard(one, shards)
+        for part, data in answers.items():
+            if part >= shards:
+                bits, value = unpacked(data)
+                asked = order[bounds[part - shards] : bounds[part - shards + 1]]
+                mine = np.unpackbits(bits.astype(np.uint8), count=len(asked)).astype(bool)
+                least[asked[mine]] = value.view(np.int64)
         repeated = least[group] < chunk.ids[chunk.window_owner[chosen]]
         steps = np.zeros(len(chunk.hashes) + 1, np.int64)
         begin = chunk.starts[chosen[repeated]]
