@@ -250,14 +250,18 @@ cores as (select node, min(label) as label from reach group by node)
     "k3_dbscan",
     f"""with recursive {VECTORS}, {DENSE},
         borders as (select near.a as node, min(cores.label) as label
-                    from near join cores on cores.node = near.b group by near.a)
-        select vec_id, coalesce(cores.label, borders.label, -1) as cluster
-        from vectors left join cores on cores.node = vec_id
-        left join borders on borders.node = vec_id""",
+                    from near join cores on cores.node = near.b group by near.a),
+        seeded as (select vec_id, coalesce(cores.label, borders.label) as seed
+                   from vectors left join cores on cores.node = vec_id
+                   left join borders on borders.node = vec_id)
+        select vec_id, seed,
+               case when seed is null then -1
+                    else dense_rank() over (order by seed nulls last) - 1 end as cluster
+        from seeded""",
 )
 def density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = dbscan(plain_vectors(spark, sf_dir), "vec_id", SETS[0], EPS, MIN_SAMPLES)
-    return made.select("vec_id", "cluster")
+    made = dbscan(plain_vectors(spark, sf_dir), "vec_id", SETS[0], EPS, MIN_SAMPLES, "seed")
+    return made.select("vec_id", "seed", "cluster")
 
 
 @register("k1_kmeans")
@@ -369,3 +373,77 @@ def custom_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
         by_purity,
     )
     return sweep.search_table(spark, [("kmeans", p, s) for p, s in found])
+
+
+# --- the same searches with a model that SQL can follow -----------------------
+
+DENSITY_GRID = {"eps": [0.07, 0.075], "min_samples": [6]}
+
+LABELLED = f"""
+settings as (select unnest([0.07, 0.075]::double[]) as eps),
+near as (select eps, a.vec_id as a, b.vec_id as b from vectors a, vectors b, settings
+         where pow(a.f1 - b.f1, 2) + pow(a.f2 - b.f2, 2) + pow(a.f3 - b.f3, 2) <= eps * eps),
+core as (select eps, a from near group by all having count(*) >= 6),
+links as (select near.eps, near.a, near.b from near join core c on c.eps = near.eps and c.a = near.a
+          join core o on o.eps = near.eps and o.a = near.b),
+reach(eps, node, label) as (
+    select eps, a, a from core
+    union
+    select links.eps, links.b, reach.label from reach join links
+    on links.eps = reach.eps and links.a = reach.node where links.b > reach.label),
+cores as (select eps, node, min(label) as label from reach group by all),
+borders as (select near.eps, near.a as node, min(cores.label) as label
+            from near join cores on cores.eps = near.eps and cores.node = near.b group by all),
+labelled as (select s.eps, v.vec_id, v.label, v.f1, v.f2, v.f3,
+                    coalesce(cores.label, borders.label, -1) as cluster
+             from vectors v cross join settings s
+             left join cores on cores.eps = s.eps and cores.node = v.vec_id
+             left join borders on borders.eps = s.eps and borders.node = v.vec_id)
+"""
+
+
+def density_search(spark: SparkSession, sf_dir: str, scorer=None) -> DataFrame:
+    points = settle(plain_vectors(spark, sf_dir))
+    found = sweep.cluster_search(
+        "dbscan", sweep.candidates(DENSITY_GRID), points, "vec_id", SETS[0], scorer
+    )
+    return sweep.search_table(spark, [("dbscan", p, s) for p, s in found]).select(
+        "candidate",
+        "model",
+        F.col("params")["eps"].cast("double").alias("eps"),
+        F.round("score", 9).alias("score"),
+    )
+
+
+@register(
+    "k11_density_scores",
+    f"""with recursive {VECTORS}, {LABELLED},
+        sums as (select a.eps, a.vec_id, a.cluster as own, b.cluster as other,
+                        sum({AWAY}) as total, count(*) as n
+                 from labelled a join labelled b on a.eps = b.eps group by all),
+        parts as (select eps, vec_id, own,
+                         max(case when own = other then total / nullif(n - 1, 0) end) as a,
+                         min(case when own <> other then total / n end) as b,
+                         max(case when own = other then n end) as n
+                  from sums group by all)
+        select row_number() over (order by eps)::int as candidate, 'dbscan' as model, eps,
+               round(avg(case when b is null then null when n = 1 then 0.0
+                              else (b - a) / greatest(a, b) end), 9) as score
+        from parts group by eps""",
+)
+def density_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density_search(spark, sf_dir)
+
+
+@register(
+    "u1_density_purity",
+    f"""with recursive {VECTORS}, {LABELLED},
+        c as (select eps, cluster, label, count(*) as n from labelled group by all),
+        m as (select eps, cluster, max(n) as largest, sum(n) as n from c group by eps, cluster)
+        select row_number() over (order by eps)::int as candidate, 'dbscan' as model, eps,
+               round(sum(largest) / sum(n), 9) as score
+        from m group by eps""",
+)
+def density_purity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_purity = lambda df: cluster_metrics.purity(df, "label", "cluster").first()["purity"]
+    return density_search(spark, sf_dir, by_purity)

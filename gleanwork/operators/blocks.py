@@ -45,13 +45,17 @@ def weighted_points(df: DataFrame, id_col: str, columns: Sequence[str], *also: s
 
 
 def with_clusters(
-    df: DataFrame, columns: Sequence[str], labelled: DataFrame, total: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    labelled: DataFrame,
+    total: int | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of ``df`` with the ``cluster`` of their point, from
-    ``<_x, w, cluster>``."""
-    kept = [c for c in df.columns if c != "cluster"]
+    ``<_x, w, cluster>`` and the columns ``also``."""
+    kept = [c for c in df.columns if c not in ("cluster", *also)]
     rows = df.select(*kept, as_point(columns).alias("_x"))
-    return attach(rows, labelled, ["_x"], "w", total).select(*kept, "cluster")
+    return attach(rows, labelled, ["_x"], "w", total).select(*kept, "cluster", *also)
 
 
 def packed(

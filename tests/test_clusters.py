@@ -23,11 +23,35 @@ def column(df, name):
     return [r[name] for r in df.orderBy("id").select(name).collect()]
 
 
+def numbers(seeds):
+    """Cluster numbers in the order of the seeds, -1 stays."""
+    order = sorted(set(seeds) - {-1})
+    return [-1 if s == -1 else order.index(s) for s in seeds]
+
+
 @pytest.mark.parametrize("eps,min_samples", [(0.6, 4), (0.9, 6), (0.3, 2), (3.0, 5)])
 def test_dbscan(spark, eps, min_samples):
     x = brute.blobs(1)
     made = dbscan(frame(spark, x), "id", COLUMNS, eps, min_samples)
-    assert column(made, "cluster") == brute.dbscan(x, list(range(len(x))), eps, min_samples)
+    want = brute.dbscan(x, list(range(len(x))), eps, min_samples)
+    assert column(made, "cluster") == numbers(want)
+
+
+@pytest.mark.parametrize("name", [lambda i: i - 20, lambda i: f"{i:04d}"], ids=["negative", "text"])
+def test_dbscan_takes_any_id(spark, name):
+    x = brute.blobs(1)
+    rows = [(name(i), *map(float, p), -1) for i, p in enumerate(x)]
+    df = spark.createDataFrame(rows, ["id", *COLUMNS, "cluster"])
+    made = dbscan(df, "id", COLUMNS, 0.9, 6, "seed")
+    want = brute.dbscan(x, list(range(len(x))), 0.9, 6)
+    assert column(made, "cluster") == numbers(want)
+    assert column(made, "seed") == [None if s == -1 else name(s) for s in want]
+
+
+def test_dbscan_of_noise_and_of_nothing(spark):
+    df = frame(spark, brute.blobs(1))
+    assert set(column(dbscan(df, "id", COLUMNS, 1e-6, 50), "cluster")) == {-1}
+    assert column(dbscan(df.limit(0), "id", COLUMNS, 0.9, 6), "cluster") == []
 
 
 def test_dbscan_in_tiny_blocks(spark, monkeypatch):
@@ -35,7 +59,7 @@ def test_dbscan_in_tiny_blocks(spark, monkeypatch):
     monkeypatch.setattr(blocks.packed, "__defaults__", (2,))
     x = brute.blobs(2)
     made = dbscan(frame(spark, x), "id", COLUMNS, 1.2, 4)
-    assert column(made, "cluster") == brute.dbscan(x, list(range(len(x))), 1.2, 4)
+    assert column(made, "cluster") == numbers(brute.dbscan(x, list(range(len(x))), 1.2, 4))
 
 
 @pytest.mark.parametrize("cluster_all", [True, False])
@@ -147,6 +171,14 @@ def test_mixture_matches_plain_em(spark, covariance):
     assert column(made, "cluster") == brute.mixture(x, start, 3, covariance)
 
 
+def test_unfinished_fits_are_reported(spark):
+    df = frame(spark, brute.blobs(10))
+    with pytest.warns(UserWarning, match="did not settle"):
+        centroids.gaussian_mixture(df, "id", COLUMNS, 3, max_rounds=1)
+    with pytest.warns(UserWarning, match="did not settle"):
+        mean_shift(df, "id", COLUMNS, 2.0, max_rounds=0)
+
+
 def test_random_start_is_repeatable(spark):
     df = frame(spark, brute.blobs(10))
     runs = [
