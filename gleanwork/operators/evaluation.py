@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gleanwork.functions.joins import bounded_broadcast
 from gleanwork.operators.ranking import top_k
+from gleanwork.session import settle
 
 # --- fixed values -----------------------------------------------------------
 # Recall steps as doubles that were reached by adding 0.1 again and again. The
@@ -58,10 +60,15 @@ def relevant_counts(judgments: DataFrame) -> DataFrame:
 def marked_hits(run: DataFrame, judgments: DataFrame) -> DataFrame:
     """Run rows of judged queries with ``hit`` 0/1 and ``n_relevant`` (J-7);
     rows of unjudged queries are dropped (J-8)."""
-    judged = distinct_judgments(judgments).withColumn("_hit", F.lit(1))
+    return _marked(run, settle(distinct_judgments(judgments)))
+
+
+def _marked(run: DataFrame, judged: DataFrame) -> DataFrame:
+    """``judged`` holds distinct judgments, written once."""
+    counts = judged.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_relevant"))
     return (
-        run.join(relevant_counts(judgments), "query_id")
-        .join(judged, PAIR, "left")
+        run.join(bounded_broadcast(counts), "query_id")
+        .join(judged.withColumn("_hit", F.lit(1)), PAIR, "left")
         .withColumn("hit", F.coalesce("_hit", F.lit(0)))
         .drop("_hit")
     )
@@ -89,10 +96,14 @@ def running_scores(run: DataFrame, judgments: DataFrame) -> DataFrame:
     bounded. A cut at a smaller depth or a higher threshold keeps a prefix of
     each query, hence these values hold for all such cuts.
     """
+    return _running(run, settle(distinct_judgments(judgments)))
+
+
+def _running(run: DataFrame, judged: DataFrame) -> DataFrame:
     upto = Window.partitionBy("query_id").orderBy("rank").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    counted = marked_hits(run, judgments).withColumn("hits", F.sum("hit").over(upto))
+    counted = _marked(run, judged).withColumn("hits", F.sum("hit").over(upto))
     return counted.select(
         "query_id",
         "doc_id",
@@ -171,7 +182,7 @@ def sweep(
     """
     if repeated:
         scores = distinct_run(scores)
-    judgments = _upto(judgments, last_query)
+    judged_pairs = settle(distinct_judgments(_upto(judgments, last_query)))
     run = top_k(_upto(scores, last_query), max(depths), min(thresholds))
     settings = F.array(
         *[
@@ -180,7 +191,7 @@ def sweep(
             for k in depths
         ]
     )
-    running = running_scores(run, judgments)
+    running = _running(run, judged_pairs)
     per_setting = (
         running.withColumn("_s", F.explode(settings))
         .select("*", "_s.threshold", "_s.depth")
@@ -188,7 +199,7 @@ def sweep(
     )
     by = ["threshold", "depth"]
     per_query = query_scores(per_setting, [*by, "query_id"])
-    judged = judgments.agg(F.count_distinct("query_id").alias("n")).scalar()
+    judged = judged_pairs.agg(F.count_distinct("query_id").alias("n")).scalar()
     means = _means(per_query, judged, by)
     # Settings that no run row reaches are still reported.
     rows = [(float(e), int(k)) for e in thresholds for k in depths]

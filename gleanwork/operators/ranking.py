@@ -39,7 +39,10 @@ def query_weights(query_counts: DataFrame, query_idf: DataFrame) -> DataFrame:
 
 def token_weights(tokens: DataFrame, counts: DataFrame, idf: DataFrame) -> DataFrame:
     """tf, idf and tf*idf of each query token, 0 where it is unknown (J-1)."""
-    known = counts.join(idf.select("term", "idf"), "term", "left")
+    # Many queries can share a term, so its rows are counted first.
+    sizes = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
+    groups = sizes.join(idf.select("term", "idf"), "term", "left")
+    known = attach(counts, groups, ["term"], "_rows").drop("_rows")
     looked_up = tokens.join(
         known.withColumnRenamed("term", "token"), ["query_id", "token"], "left"
     )
@@ -65,9 +68,8 @@ def restrict_to_vocabulary(
     further shuffle of document rows.
     """
     vocabulary = weights.select("term").distinct()
-    if broadcast_queries:
-        vocabulary = F.broadcast(vocabulary)
-    return doc_counts.join(vocabulary, "term", "left_semi").repartition("doc_id")
+    found = term_join(doc_counts, vocabulary, "term", "doc_id", broadcast_queries)
+    return found.select(*doc_counts.columns).repartition("doc_id")
 
 
 def cosine_scores(
@@ -79,7 +81,13 @@ def cosine_scores(
     ``broadcast_queries`` tells that the measured size of ``weights`` allows a
     broadcast; what is broadcast has at most as many rows.
     """
-    known = weights.join(doc_idf.select("term", F.col("idf").alias("didf")), "term")
+    idf = doc_idf.select("term", F.col("idf").alias("didf"))
+    if broadcast_queries:
+        known = idf.join(F.broadcast(weights), "term")
+    else:
+        # Many queries can share a term.
+        sizes = weights.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
+        known = attach(weights, idf.join(sizes, "term"), ["term"], "_rows").drop("_rows")
     pairs = term_join(doc_counts, known, "term", "doc_id", broadcast_queries)
     dw = F.col("tf") * F.col("didf")
     sums = pairs.groupBy("query_id", "doc_id").agg(
