@@ -16,7 +16,7 @@ from gleanwork.operators.dbscan import dbscan
 from gleanwork.operators.mean_shift import mean_shift
 from gleanwork.operators.preparation import numeric_columns
 from gleanwork.operators.silhouette import mean_silhouette
-from gleanwork.session import settle, side_by_side
+from gleanwork.session import settle, side_by_side, tidy
 
 # --- fixed values -----------------------------------------------------------
 # [start, end, step] with an exclusive end where the first value is an int,
@@ -151,15 +151,16 @@ def classification_sweep(
     """One trial per scaler and model (C-7): the best parameters by cross
     validation on the train table, scored by accuracy on the test table."""
     rows = []
-    for scaler, tr, te in scaled_pairs(train, test, columns, scaler_names, chain, fit_each):
-        for model, grid in grids.items():
-            searched = classification.grid_search(
-                model, candidates(grid), tr, columns, label, id_col, folds, seed
-            )
-            params, _ = classification.best_candidate(searched)
-            made = classification.predict(model, params, tr, te, columns, label, id_col, seed)
-            score = cluster_metrics.accuracy(made, label, "prediction").first()["accuracy"]
-            rows.append((model, scaler, list(columns), _as_text(params), score))
+    with tidy(train.sparkSession):
+        for scaler, tr, te in scaled_pairs(train, test, columns, scaler_names, chain, fit_each):
+            for model, grid in grids.items():
+                searched = classification.grid_search(
+                    model, candidates(grid), tr, columns, label, id_col, folds, seed
+                )
+                params, _ = classification.best_candidate(searched)
+                made = classification.predict(model, params, tr, te, columns, label, id_col, seed)
+                score = cluster_metrics.accuracy(made, label, "prediction").first()["accuracy"]
+                rows.append((model, scaler, list(columns), _as_text(params), score))
     return _trial_table(train.sparkSession, rows)
 
 
@@ -213,10 +214,12 @@ def cluster_search(
     score = scorer or silhouette_scorer(id_col, columns)
     key = lambda params: tuple((k, v) for k, v in params.items() if k != "algorithm")
     distinct = {key(params): params for params in tried}
-    scores = side_by_side(
-        lambda params: score(settle(cluster(model, params, df, id_col, columns, seed))),
-        distinct.values(),
-    )
+
+    def fit_and_score(params: Mapping) -> float | None:
+        with tidy(df.sparkSession):
+            return score(settle(cluster(model, params, df, id_col, columns, seed)))
+
+    scores = side_by_side(fit_and_score, distinct.values())
     known = dict(zip(distinct, scores))
     return [(params, known[key(params)]) for params in tried]
 
@@ -235,14 +238,16 @@ def clustering_sweep(
     rows = []
     for features in feature_sets:
         columns = numeric_columns(df.select(*features))
+        score_by = scorer(id_col, columns)
         for scaler in scaler_names:
-            scaled = settle(scalers.scale(df.select(id_col, *columns), columns, scaler))
-            for model, grid in grids.items():
-                searched = cluster_search(
-                    model, candidates(grid), scaled, id_col, columns, scorer(id_col, columns), seed
-                )
-                params, score = classification.best_candidate(searched)
-                rows.append((model, scaler, list(features), _as_text(params), score))
+            with tidy(df.sparkSession):
+                scaled = settle(scalers.scale(df.select(id_col, *columns), columns, scaler))
+                for model, grid in grids.items():
+                    searched = cluster_search(
+                        model, candidates(grid), scaled, id_col, columns, score_by, seed
+                    )
+                    params, score = classification.best_candidate(searched)
+                    rows.append((model, scaler, list(features), _as_text(params), score))
     return _trial_table(df.sparkSession, rows)
 
 

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Where scratch tables go below the shared folder.
+_FOLDER: ContextVar[str] = ContextVar("folder", default="gleanwork")
+
+
 def local_session(cores: int = 8, name: str = "gleanwork") -> SparkSession:
     """A single-JVM session for tests and the bench."""
     spark = (
@@ -50,7 +56,24 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{scratch_dir(spark).rstrip('/')}/gleanwork/{uuid.uuid4().hex}/{name}"
+    return f"{scratch_dir(spark).rstrip('/')}/{_FOLDER.get()}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that are written inside.
+
+    For jobs that end in numbers on the driver: nothing reads their tables
+    later.
+    """
+    folder = f"{_FOLDER.get()}/{uuid.uuid4().hex}"
+    mark = _FOLDER.set(folder)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(mark)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark).rstrip('/')}/{folder}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -74,7 +97,7 @@ def side_by_side(work: Callable, items: Iterable, width: int = 4) -> list[Any]:
     """
     inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(width) as pool:
-        tasks = [pool.submit(inherit(work), item) for item in items]
+        tasks = [pool.submit(copy_context().run, inherit(work), item) for item in items]
         return [task.result() for task in tasks]
 
 

@@ -1,8 +1,11 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from gleanwork.operators import classification, cluster_metrics
 from gleanwork.plans import sweep
+from gleanwork.session import scratch_dir, settle, tidy
 from tests import brute
 
 COLUMNS = ["x", "y", "z"]
@@ -111,3 +114,25 @@ def test_no_clusters_score_nothing(table):
         "kmeans", [{"n_clusters": 2, "n_init": 1}], table, "id", COLUMNS, lambda df: float(df.count())
     )
     assert counted[0][1] == 97.0
+
+
+def test_searches_leave_no_scratch_tables(spark):
+    root = Path(scratch_dir(spark).removeprefix("file:"))
+    written = lambda: {p for p in root.rglob("*") if p.is_dir() and p.name == "table"}
+    rows = [(i, i % 7 * 0.5, i % 5 * 0.25, i % 2) for i in range(60)]
+    df = settle(spark.createDataFrame(rows, "id int, a double, b double, label int"))
+    before = written()
+    tried = sweep.candidates({"eps": [0.3, 0.6], "min_samples": [2]})
+    assert len(sweep.cluster_search("dbscan", tried, df, "id", ["a", "b"])) == 2
+    ks = sweep.candidates({"n_neighbors": [2, 4, 1]})
+    assert len(classification.grid_search("knn", ks, df, ["a", "b"], "label", "id")) == 2
+    assert written() == before
+
+
+def test_a_failed_search_leaves_no_scratch_tables(spark):
+    root = Path(scratch_dir(spark).removeprefix("file:"))
+    before = set(root.rglob("*"))
+    with pytest.raises(ZeroDivisionError), tidy(spark):
+        settle(spark.range(3))
+        1 / 0
+    assert set(root.rglob("*")) == before
