@@ -81,11 +81,12 @@ def settle(df: DataFrame) -> DataFrame:
 
     Cuts the lineage of iterative jobs, pins values that must not change when
     a lost executor's work is redone (partition numbers, block ids), and lets
-    several consumers read only the columns they need.
+    several consumers read only the columns they need. Written with zstd: it is
+    read few times and holds texts or ids, so space counts more than speed.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
