@@ -172,6 +172,21 @@ def test_katz(docs, rows, monkeypatch, min_share, chars):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-5)
 
 
+def test_katz_keeps_seldom_words_apart(spark):
+    """In 600 000 tokens a word seen twice has less than 2e-6 of them."""
+    ids = range(40)
+    held = next(i for i in ids if zlib.crc32(str(i).encode()) % 10 == 0)
+    other = next(i for i in ids if i != held and zlib.crc32(str(i).encode()) % 10 == 0)
+    common = " ".join(f"f{(i * i + i // 97) % 97}" for i in range(20_000))
+    texts = {i: f"{common} " for i in ids if i not in (held, other)}
+    learned = [i for i in texts if zlib.crc32(str(i).encode()) % 10][0]
+    texts[learned] += "zig zag zug zog"
+    texts |= {held: "zig zag", other: "zig zog"}
+    got = katz.score_corpus(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    score = {r["doc_id"]: r["score"] for r in got.collect()}
+    assert score[held] > score[other] + 1
+
+
 def test_katz_without_training(spark, empty):
     assert katz.score_corpus(empty).count() == 0
     ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
