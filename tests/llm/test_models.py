@@ -104,6 +104,43 @@ def test_quality_of_empty_and_tiny_tables(empty, docs):
     assert all(r["class_distance"] is None for r in few)
 
 
+def _speech(seed, n, common, share, vocabulary):
+    """A text of ``n`` words, ``share`` of them from 30 common ones."""
+    rng = np.random.default_rng(seed)
+    return [
+        common[int(30 * rng.random() ** 2)] if rng.random() < share else f"{vocabulary}{i}word"
+        for i in rng.integers(0, 5_000, n)
+    ]
+
+
+@pytest.mark.parametrize("share", [0.15, 0.25, 0.5])
+def test_divergence_of_replaced_and_swapped_texts(spark, share):
+    """At a share of 0.15 a text without any common word reaches 0.28."""
+    a, b = ([f"{x}{chr(97 + i % 26)}{i // 26}" for i in range(30)] for x in "mn")
+    b[:9] = a[:9]  # as Spanish and French have words in common
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(300):
+        rows.append(("own", "a", _speech(i, 400, a, share, "long")))
+    for replaced in (0.2, 0.8, 1.0):
+        for i in range(10):
+            words = _speech(1_000 + i, 400, a, share, "long")
+            words = [f"nonsense{k}" if rng.random() < replaced else w for k, w in enumerate(words)]
+            rows.append((f"replaced {replaced}", "a", words))
+    rows += [("swapped", "a", _speech(2_000 + i, 400, b, share, "wide")) for i in range(10)]
+    rows = [(what, lang, " ".join(words)) for what, lang, words in rows]
+    docs = spark.createDataFrame(rows, "what string, lang string, text string")
+    limits = quality.Limits(class_distance=1.0)
+    got = Counter((r["row"]["what"], r["kept"]) for r in quality.quality(docs, limits=limits).collect())
+    assert got == {
+        ("own", True): 300,
+        ("replaced 0.2", True): 10,
+        ("replaced 0.8", False): 10,
+        ("replaced 1.0", False): 10,
+        ("swapped", False): 10,
+    }
+
+
 def plain_model(rows, min_share):
     """Counts, classes and probabilities, one dictionary at a time."""
     toks = [[w.lower() for w in (r[1] or "").encode().split()] for r in rows]
