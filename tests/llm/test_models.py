@@ -141,6 +141,19 @@ def test_divergence_of_replaced_and_swapped_texts(spark, share):
     }
 
 
+def test_small_language_is_judged_in_a_large_table(spark):
+    """2 400 words have a reference, also beside 30 million others."""
+    common = [f"m{chr(97 + i % 26)}{i // 26}" for i in range(30)]
+    small = [(" ".join(_speech(i, 400, common, 0.4, "long")), "small") for i in range(6)]
+    docs = spark.createDataFrame(small, "text string, lang string").unionByName(
+        spark.range(30).select(
+            F.repeat(F.lit("the other language "), 333_334).alias("text"), F.lit("big").alias("lang")
+        )
+    )
+    found = quality.references(docs, quality.Limits(), "text", "lang").collect()
+    assert {r["lang"] for r in found} == {"small", "big"}
+
+
 def plain_model(rows, min_share):
     """Counts, classes and probabilities, one dictionary at a time."""
     toks = [[w.lower() for w in (r[1] or "").encode().split()] for r in rows]
