@@ -14,6 +14,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Spark removes the shuffle files of a query that has ended if this is set.
+_SPENT_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Where scratch tables go below the shared folder.
 _FOLDER: ContextVar[str] = ContextVar("folder", default="gleanwork")
 
@@ -83,10 +86,20 @@ def settle(df: DataFrame) -> DataFrame:
     a lost executor's work is redone (partition numbers, block ids), and lets
     several consumers read only the columns they need. Written with zstd: it is
     read few times and holds texts or ids, so space counts more than speed.
+    Nothing reads the shuffles behind ``df`` once it is written: Spark is told
+    to remove their files at the end of the write.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_SPENT_SHUFFLES, None)
+    spark.conf.set(_SPENT_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_SPENT_SHUFFLES)
+        else:
+            spark.conf.set(_SPENT_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
