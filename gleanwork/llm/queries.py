@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import edits, exact, katz, lexicon, packing, quality, sharding, simhash
-from gleanwork.llm import substring, warc
+from gleanwork.llm import edits, exact, katz, lexicon, packing, quality, runindex, sharding
+from gleanwork.llm import simhash, substring, warc
 
 
 def tokenizer() -> str:
@@ -126,6 +126,20 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda acc, s: acc + F.get(s, F.lit(1)) - F.get(s, F.lit(0))
+    )
+    return runindex.repeated_bytes(docs, span=100).select(
+        "row.doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -139,6 +153,7 @@ QUERIES = {
         op8_katz_scores,
         op9_label_shards,
         op10_transducer_bpe,
+        op13_run_index_dedup,
     )
 }
 
@@ -184,4 +199,29 @@ ORACLES = {
                    not list_contains(coalesce(gone, []), i)), ' '), '')) as kept_sha256
         from w left join sets using (doc_id)
     """,
+    "op13_run_index_dedup": """
+        with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+        starts as (select doc_id, h, unnest(range(0, len(h) // 2 - 99)) as s from d),
+        windows as (select doc_id, s, substr(h, 2 * s + 1, 200) as w from starts),
+        later as (select doc_id, s, (doc_id, s) > min((doc_id, s)) over (partition by w) as gone
+                  from windows),
+        joined as (select doc_id, s, sum(fresh) over (partition by doc_id order by s) as run
+                   from (select doc_id, s, (s > coalesce(lag(s) over (
+                            partition by doc_id order by s), -101) + 100)::int as fresh
+                         from later where gone)),
+        spans as (select doc_id, min(s) as a, max(s) + 100 as b from joined group by doc_id, run),
+        gaps as (select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as a,
+                        a as b from spans
+                 union all select doc_id, max(b), 2000000000 from spans group by doc_id),
+        kept as (select doc_id,
+                        string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' order by a) as h
+                 from gaps join d using (doc_id) group by doc_id),
+        sums as (select doc_id, sum(b - a)::bigint as n_removed, count(*) as n_spans
+                 from spans group by doc_id)
+        select doc_id, (len(d.h) // 2)::bigint as n_bytes,
+               coalesce(n_removed, 0)::bigint as n_removed,
+               coalesce(n_spans, 0)::bigint as n_spans,
+               sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256
+        from d left join sums using (doc_id) left join kept using (doc_id)
+    """,
 }
