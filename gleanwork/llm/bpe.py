@@ -27,7 +27,7 @@ _PIECE = re.compile(
 _NONE = np.iinfo(np.int64).max
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in the vocabulary file, inverted."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in set(shown)]
@@ -44,7 +44,7 @@ class Merges:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        letters = _byte_letters()
+        letters = byte_letters()
         vocab: dict[str, int] = spec["model"]["vocab"]
         self.byte_ids = np.zeros(256, np.int64)
         for letter, byte in letters.items():

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import edits, exact, katz, lexicon, packing, quality, runindex, sharding
-from gleanwork.llm import simhash, substring, warc
+from gleanwork.llm import alignment, edits, exact, katz, lexicon, packing, quality, runindex
+from gleanwork.llm import sharding, simhash, substring, warc
 
 
 def tokenizer() -> str:
@@ -126,6 +126,23 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.aligned(docs, tokenizer(), pieces).select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
 def op13_run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     removed = F.aggregate(
@@ -153,6 +170,7 @@ QUERIES = {
         op8_katz_scores,
         op9_label_shards,
         op10_transducer_bpe,
+        op12_cut_alignment,
         op13_run_index_dedup,
     )
 }
