@@ -30,14 +30,17 @@ from pyspark.sql.window import Window
 from gleanwork.llm.chunks import chunked, mixed, opened
 from gleanwork.session import settle
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
 
 #: Distinct pieces of one anchor above which its windows are dealt in parts.
 HOT_PIECES = 1024
 
+# Windows worked on at a time.
+_AT_ONCE = 1 << 15
+
 _ANCHORS = "chunk long, anchor long, n int"
-_PIECES = "shard long, chunk long, place long, doc long, start long, piece binary"
+_PIECES = "key long, chunk long, place long, doc long, start long, piece binary"
 _SPANS = "chunk long, first long, last long"
 
 
@@ -63,6 +66,18 @@ def _least_of_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+def _seeds(raw: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of every run of ``seed`` bytes, by doubling."""
+    hashes, reach = raw.astype(np.uint64) + np.uint64(1), 1
+    while 2 * reach <= seed:
+        hashes = hashes[:-reach] * np.uint64(_ODD + 2 * reach) + hashes[reach:]
+        reach *= 2
+    rest = seed - reach
+    if rest:
+        hashes = hashes[: len(hashes) - rest] * np.uint64(_ODD) + hashes[rest:]
+    return mixed(mixed(hashes))
+
+
 class Text(NamedTuple):
     """Columns of the input."""
 
@@ -91,30 +106,42 @@ class Chunk:
     def _cut(self) -> None:
         """``first`` and ``last`` window of each piece, the place of its anchor."""
         raw = np.frombuffer(self.data, np.uint8)
-        if len(raw) < self.span:
-            return
-        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
         windows = len(raw) - self.span + 1
-        inside = owner[:windows] == owner[self.span - 1 :]
-        # Hashes of all runs of `seed` bytes, by doubling.
-        hashes, reach = raw.astype(np.uint64) + np.uint64(1), 1
-        while 2 * reach <= self.seed:
-            hashes = mixed(hashes[:-reach] * _ODD + hashes[reach:])
-            reach *= 2
-        rest = self.seed - reach
-        if rest:
-            hashes = mixed(hashes[: len(hashes) - rest] * _ODD + hashes[rest:])
+        if windows <= 0:
+            return
+        width = self.span - self.seed + 1
         low = np.uint64(0xFFFFFFFF)
-        keyed = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
-        at = (_least_of_windows(keyed, self.span - self.seed + 1) & low).astype(np.int64)
-        fresh = inside.copy()
-        fresh[1:] &= (at[1:] != at[:-1]) | ~inside[:-1] | (owner[1:windows] != owner[: windows - 1])
-        ends = inside.copy()
-        ends[:-1] &= fresh[1:] | ~inside[1:]
-        self.first, self.last = np.flatnonzero(fresh), np.flatnonzero(ends)
+        at = np.empty(windows, np.int64)
+        for a in range(0, windows, _AT_ONCE):
+            # A stretch whose arrays stay in the processor's cache.
+            part = raw[a : min(a + _AT_ONCE, windows) + self.span - 1]
+            keyed = _seeds(part, self.seed) & ~low
+            keyed |= np.arange(a, a + len(keyed), dtype=np.uint64)
+            least = _least_of_windows(keyed, width)
+            at[a : a + len(least)] = least & low
+        # Consecutive windows of a document with the same anchor; windows over
+        # the end of a document are none.
+        fresh = np.ones(windows + 1, bool)
+        fresh[1:-1] = at[1:] != at[:-1]
+        none = np.zeros(windows, bool)
+        ends = self.begins + self.sizes
+        firsts = np.maximum(ends - self.span + 1, self.begins)
+        for first, end in zip(firsts.tolist(), ends.tolist()):
+            none[first:end] = True
+            if end <= windows:
+                fresh[end] = True
+            if first <= windows:
+                fresh[first] = True
+        edges = np.flatnonzero(fresh)
+        kept = ~none[edges[:-1]]
+        self.first, self.last = edges[:-1][kept], edges[1:][kept] - 1
         self.anchor = at[self.first]
-        self.owner = owner[self.first]
-        self.hashes = hashes[self.anchor].view(np.int64)
+        self.owner = np.searchsorted(ends, self.first, "right")
+        self.hashes = np.zeros(len(self.first), np.int64)
+        for a in range(0, windows, _AT_ONCE):
+            i, j = np.searchsorted(self.anchor, [a, a + _AT_ONCE])
+            hashes = _seeds(raw[a : a + _AT_ONCE + self.seed - 1], self.seed)
+            self.hashes[i:j] = hashes[self.anchor[i:j] - a].view(np.int64)
 
     def bytes_of(self, first: int, last: int) -> bytes:
         return self.data[first : last + self.span]
@@ -181,8 +208,8 @@ class Chunk:
                 if seen.setdefault(key, place) != place:
                     repeats.append((a, b + self.span))
                     continue
-                shard = xxhash.xxh64_intdigest(shared, low << 32 | high) >> 1
-                columns = (shard, a, *place, piece)
+                name = xxhash.xxh64_intdigest(shared, low << 32 | high) >> 1
+                columns = (name, a, *place, piece)
                 for column, value in zip(found, columns):
                     column.append(value)
         return found, repeats
@@ -223,46 +250,45 @@ class RunIndex:
         """Text positions in the order of their suffixes, and whether a row
         matches the row above for ``span`` letters inside its piece."""
         n = len(letters)
-        wide = np.zeros(n + 8, np.uint8)
-        wide[:n] = letters
+        left = np.repeat(self.ends, self.sizes + 1) - np.arange(n)
         # The first eight letters, nothing after an end.
-        key, open_ = np.zeros(n, np.uint64), np.ones(n, bool)
-        for i in range(8):
-            part = wide[i : i + n]
-            key = key << np.uint64(8) | np.where(open_, part, 0).astype(np.uint64)
-            open_ &= part != 0
-        rows = np.argsort(key, kind="stable")
+        key = np.zeros(n + 8, np.uint64)
+        key[:n] = letters
+        for reach in (1, 2, 4):
+            key[:-reach] = key[:-reach] << np.uint64(8 * reach) | key[reach:]
+        cut = np.array([(1 << 64) - (1 << (64 - 8 * i)) for i in range(9)], np.uint64)
+        key = key[:n] & cut[np.minimum(left, 8)]
+        rows = np.argsort(key)
         rank = self._ranks(rows, key[rows][1:] != key[rows][:-1])
-        left = np.append(self.ends, n)[np.searchsorted(self.ends, np.arange(n))] - np.arange(n)
         matched = None
         reach, longest = 8, int(self.sizes.max(initial=0)) + 1
+        at = np.arange(n)  # rows that may be equal to a neighbour
         while True:
             if matched is None and (2 * reach > self.span or reach >= longest):
                 matched = rank.copy(), reach
-            if reach >= longest:
-                break
-            # Only suffixes that others equal so far, and that have not ended.
-            tied = np.zeros(n, bool)
-            equal = rank[rows][1:] == rank[rows][:-1]
-            tied[1:] |= equal
-            tied[:-1] |= equal
-            at = np.flatnonzero(tied)
-            if not len(at):
+            own = rank[rows[at]]
+            tied = np.zeros(len(at), bool)
+            tied[1:] = own[1:] == own[:-1]
+            tied[:-1] |= tied[1:]
+            at = at[tied]
+            if reach >= longest or not len(at):
                 break
+            # Only suffixes that others equal so far: on by what follows.
             held = rows[at]
-            beyond = np.minimum(held + reach, n - 1)
-            second = np.where(left[held] >= reach, rank[beyond] + 1, 0)
-            order = np.lexsort((held, second, rank[held]))
-            rows[at] = held[order]
-            new_rank, new_second = rank[held][order], second[order]
+            second = np.where(
+                left[held] >= reach, rank[np.minimum(held + reach, n - 1)] + 1, 0
+            )
+            both = rank[held] * (n + 1) + second
+            order = np.argsort(both)
+            rows[at], both = held[order], both[order]
             fresh = np.ones(len(at), bool)
-            fresh[1:] = (new_rank[1:] != new_rank[:-1]) | (new_second[1:] != new_second[:-1])
-            group = np.maximum.accumulate(np.where(fresh, at, 0))
-            rank[rows[at]] = group
+            fresh[1:] = both[1:] != both[:-1]
+            rank[rows[at]] = np.maximum.accumulate(np.where(fresh, at, 0))
             reach *= 2
+        # Suffixes equal to their ends are in the order of the text.
+        rows[at] = rows[at][np.argsort(rank[rows[at]] * (n + 1) + rows[at])]
         if matched is None:
             matched = rank, reach
-        # Suffixes that are equal to their ends keep the order of the text.
         ranks, reach = matched
         shift = max(0, self.span - reach)
         full = left[rows] >= self.span
@@ -283,16 +309,19 @@ class RunIndex:
     def matches(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Stream all pieces backwards, side by side: ``(piece, place, interval)``
         of the windows that match another one."""
-        piece = np.arange(len(self.sizes))
-        row = piece.copy()  # the suffix that is only an end
-        place = self.sizes.copy()
-        while len(piece):
+        row = np.arange(len(self.sizes))  # the suffix that is only an end
+        piece, place = row.copy(), self.sizes.copy()
+        while True:
             live = place > 0
             piece, row, place = piece[live], row[live], place[live] - 1
             if not len(piece):
                 return
             run = np.searchsorted(self.starts, row, "right") - 1
             row = self.targets[run] + row - self.starts[run]
+            # Rows with one letter before them keep their order, so sorting by
+            # that letter sorts the rows.
+            order = np.argsort(self.heads[run], kind="stable")
+            piece, row, place = piece[order], row[order], place[order]
             within = np.searchsorted(self.opens, row, "right") - 1
             hit = within >= 0
             hit[hit] = row[hit] < self.closes[within[hit]]
@@ -305,6 +334,8 @@ def later_windows(
 ) -> tuple[np.ndarray, np.ndarray]:
     """``(piece, place)`` of the windows of distinct pieces that an earlier
     window equals; earlier is a smaller document, then a smaller start."""
+    if not pieces:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     index = RunIndex(pieces, span)
     _, number = np.unique(docs, return_inverse=True)
     found = list(index.matches())
@@ -318,15 +349,15 @@ def later_windows(
     return piece[later], place[later]
 
 
-def _spans_of(piece: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, int]]:
+def _spans_of(piece: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of consecutive places: piece, first, last."""
     order = np.lexsort((place, piece))
     piece, place = piece[order], place[order]
     edge = np.ones(len(piece), bool)
     edge[1:] = (piece[1:] != piece[:-1]) | (place[1:] != place[:-1] + 1)
     first = np.flatnonzero(edge)
-    last = np.append(first[1:], len(piece)) - 1
-    yield from zip(piece[first].tolist(), place[first].tolist(), place[last].tolist())
+    last = np.append(first[1:], len(piece))[: len(first)] - 1
+    return piece[first], place[first], place[last]
 
 
 def repeated_bytes(
@@ -379,12 +410,12 @@ def repeated_bytes(
         for data in left["data"]:
             chunk = Chunk(data.as_py(), names, span, seed)
             found, spans = chunk.asked(anchors[order], counts, hot)
-        shard, place, doc, start, piece = found
+        name, place, doc, start, piece = found
         extra = len(spans)
         # Spans found inside the chunk travel along, with no piece.
         columns = [
-            shard + [-1] * extra,
-            [number] * (len(shard) + extra),
+            name + [-1] * extra,
+            [number] * (len(name) + extra),
             place + [a for a, _ in spans],
             doc + [b for _, b in spans],
             start + [0] * extra,
@@ -395,35 +426,42 @@ def repeated_bytes(
     pieces = settle(
         held.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(cut, _PIECES)
     )
-    within = pieces.filter("shard < 0").select(
+    within = pieces.filter("key < 0").select(
         "chunk", F.col("place").alias("first"), F.col("doc").alias("last")
     )
-    dealt = pieces.filter("shard >= 0").withColumn("shard", F.pmod("shard", F.lit(shards)))
+    dealt = pieces.filter("key >= 0").withColumn("shard", F.pmod("key", F.lit(shards)))
 
     def match(rows: pa.Table) -> pa.Table:
-        chunk, place = rows["chunk"].to_numpy(), rows["place"].to_numpy()
-        doc, start = rows["doc"].to_numpy(), rows["start"].to_numpy()
+        chunk, place, doc, start = (
+            rows[c].to_numpy() for c in ("chunk", "place", "doc", "start")
+        )
         numbers: dict[bytes, int] = {}
         text = [numbers.setdefault(p, len(numbers)) for p in rows["piece"].to_pylist()]
         text = np.array(text, np.int64)
+        sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
         # The earliest of equal pieces stands for them in the index.
         order = np.lexsort((start, doc, text))
         first = order[np.searchsorted(text[order], np.arange(len(numbers)))]
-        piece, at = later_windows(list(numbers), doc[first], start[first], span)
-        is_first = np.zeros(len(text), bool)
-        is_first[first] = True
-        equal = (doc == doc[first[text]]) & (start == start[first[text]])
-        out: list[tuple[int, int, int]] = []
-        sizes = np.fromiter(map(len, numbers), np.int64, len(numbers))
-        for i in np.flatnonzero(~equal).tolist():
-            out.append((int(chunk[i]), int(place[i]), int(place[i] + sizes[text[i]])))
-        stands: dict[int, list[int]] = {}
-        for i in np.flatnonzero(equal & ~is_first).tolist():
-            stands.setdefault(int(text[i]), []).append(i)
-        for p, a, b in _spans_of(piece, at):
-            for i in [int(first[p]), *stands.get(p, ())]:
-                out.append((int(chunk[i]), int(place[i]) + a, int(place[i]) + b + span))
-        return pa.Table.from_batches([_batch(_SPANS, list(zip(*out)) or [[], [], []])])
+        # A piece that shares its key with no other has nothing to match.
+        _, group, members = np.unique(
+            rows["key"].to_numpy()[first], return_inverse=True, return_counts=True
+        )
+        met = np.flatnonzero(members[group] > 1)
+        pieces = list(numbers)
+        at, a = later_windows([pieces[i] for i in met.tolist()], doc[first[met]], start[first[met]], span)
+        at, a, b = _spans_of(met[at], a)
+        earliest = (doc == doc[first[text]]) & (start == start[first[text]])
+        later = np.flatnonzero(~earliest)
+        found = [(chunk[later], place[later], place[later] + sizes[text[later]])]
+        # Rows that stand at the very place of the earliest share its spans.
+        same = np.flatnonzero(earliest)
+        same = same[np.argsort(text[same], kind="stable")]
+        low = np.searchsorted(text[same], at)
+        n = np.searchsorted(text[same], at, "right") - low
+        span_of = np.repeat(np.arange(len(at)), n)
+        row = same[np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        found.append((chunk[row], place[row] + a[span_of], place[row] + b[span_of] + span))
+        return pa.Table.from_batches([_batch(_SPANS, [np.concatenate(c) for c in zip(*found)])])
 
     marks = settle(within.unionByName(dealt.groupBy("shard").applyInArrow(match, _SPANS)))
 
