@@ -11,19 +11,24 @@ leaf group. All documents of a block descend together, a level at a time.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gleanwork.llm.bpe import Encoder, Merges, byte_letters
 from gleanwork.session import settle
 
-#: Characters of text aligned together; a longer text is a block of its own.
+#: Characters of text whose pairs are counted together, and of those that are
+#: aligned together; a longer text stands alone.
 BLOCK_CHARS = 4_000_000
+STRETCH_CHARS = 400_000
 
 #: Bytes from which the library merges a word, by its own queue of pairs.
 LONG_WORD = 256
@@ -53,8 +58,10 @@ def shared_cuts(
         )
         cuts_a.append(at_a)
         cuts_b.append(at_b)
-        lo_a, hi_a = np.concatenate([lo_a, at_a + 1]), np.concatenate([at_a, hi_a])
-        lo_b, hi_b = np.concatenate([lo_b, at_b + 1]), np.concatenate([at_b, hi_b])
+        # Halves stay in the order of the text, which keeps bisecting fast.
+        lo_a, hi_a = np.column_stack([lo_a, at_a + 1]), np.column_stack([at_a, hi_a])
+        lo_b, hi_b = np.column_stack([lo_b, at_b + 1]), np.column_stack([at_b, hi_b])
+        lo_a, hi_a, lo_b, hi_b = (v.ravel() for v in (lo_a, hi_a, lo_b, hi_b))
     return np.sort(np.concatenate(cuts_a)), np.sort(np.concatenate(cuts_b))
 
 
@@ -62,30 +69,33 @@ def _near_middle(a, b, lo, hi) -> tuple[np.ndarray, np.ndarray]:
     """The common end of each interval ``lo <= place < hi`` of ``a`` that is
     nearest to its middle, or -1."""
     middle = (lo + hi - 1) // 2
-    at_a, at_b = np.full(len(lo), -1), np.full(len(lo), -1)
-    open_, inner, outer = np.arange(len(lo)), 0, 0
+    other = np.searchsorted(b, a[middle])
+    common = b[other] == a[middle]  # the last ends of both sides are equal
+    at_a, at_b = np.where(common, middle, -1), np.where(common, other, -1)
+    open_, inner = np.flatnonzero(~common & (hi - lo > 1)), 1
     while len(open_):
-        # Places at distance inner ... outer on either side of the middle.
-        mid = middle[open_]
-        left = np.maximum(lo[open_], mid - outer), mid - inner + 1
-        right = mid + max(inner, 1), np.minimum(hi[open_], mid + outer + 1)
+        # Places at a distance of inner ... 2 * inner on either side.
+        mid, low, high = middle[open_], lo[open_], hi[open_]
         place, owner = [], []
-        for first, end in (left, right):
+        for first, end in (
+            (np.maximum(low, mid - 2 * inner), mid - inner + 1),
+            (mid + inner, np.minimum(high, mid + 2 * inner + 1)),
+        ):
             n = np.maximum(end - first, 0)
             steps = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             place.append(np.repeat(first, n) + steps)
             owner.append(np.repeat(np.arange(len(open_)), n))
         place, owner = np.concatenate(place), np.concatenate(owner)
-        other = np.minimum(np.searchsorted(b, a[place]), len(b) - 1)
+        other = np.searchsorted(b, a[place])
         common = b[other] == a[place]
         place, owner, other = place[common], owner[common], other[common]
-        order = np.lexsort((place, np.abs(place - mid[owner]), owner))
-        nearest, first = np.unique(owner[order], return_index=True)
-        at_a[open_[nearest]] = place[order][first]
-        at_b[open_[nearest]] = other[order][first]
-        inner, outer = outer + 1, 2 * outer + 2
-        left_open = (at_a[open_] < 0) & ((mid - inner >= lo[open_]) | (mid + inner < hi[open_]))
-        open_ = open_[left_open]
+        # Written farthest first, so the nearest of each interval stays.
+        order = np.argsort(-np.abs(place - mid[owner]), kind="stable")
+        at_a[open_[owner[order]]] = place[order]
+        at_b[open_[owner[order]]] = other[order]
+        inner = 2 * inner + 1
+        more = (at_a[open_] < 0) & ((mid - inner >= low) | (mid + inner < high))
+        open_ = open_[more]
     return at_a, at_b
 
 
@@ -110,6 +120,14 @@ class Tokenizers:
             for i in range(spelled.vocab_size())
         ]
 
+        self.sizes = tuple(
+            np.fromiter(map(len, side), np.int64, len(side))
+            for side in (self.a_bytes, self.b_bytes)
+        )
+        shown = [spelled.id_to_piece(i) for i in range(spelled.vocab_size())]
+        self.by_words = not any(re.search("[^▁]▁", p) for p in shown) and all(
+            spelled.decode(spelled.encode(t)) == t for t in ("a  b", " a", "a ", "\t a\n", "ﬁ½")
+        )
         # Decimal ids, inside a group and at the ends of its halves.
         plain = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.names = tuple(np.array([i + m for i in plain], object) for m in ",|;")
@@ -139,18 +157,40 @@ class Tokenizers:
             lengths = np.fromiter(map(len, parts), np.int64, len(parts))
             return np.concatenate(parts), lengths
 
-        encoder = Encoder(merges, resolve)
+        encoder = Encoder(merges, resolve, max_words=300_000)
         pieces = sentencepiece.SentencePieceProcessor(model_proto=self.model)
+        if self.by_words:
+            words = Encoder(merges, lambda w: _alone(pieces, w), max_words=300_000)
+            # A word is a run of spaces and what follows up to the next space.
+            # No token goes on over its end, so words merge alone; the space
+            # that the library puts before a text belongs to the first one.
+            words.split = re.compile(" +[^ ]*").findall
 
         def encode(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-            a = [v.astype(np.int64) for v in encoder.encode(" " + t for t in texts)]
+            spaced = [" " + t for t in texts]
+            a = [v.astype(np.int64) for v in encoder.encode(spaced)]
+            if self.by_words:
+                return a, [v.astype(np.int64) for v in words.encode(spaced)]
             b = pieces.encode(texts, num_threads=1) if texts else []
             return a, [np.array(v, np.int64) for v in b]
 
         return encode
 
 
-class Block:
+def _alone(pieces, words: list[bytes], at_once: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words one after another, and their number per word."""
+    space = [pieces.piece_to_id("▁")]  # the library adds none to an empty text
+    ids, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(0, len(words), at_once):
+        part = words[i : i + at_once]
+        made = pieces.encode([w[1:].decode() for w in part], num_threads=1)
+        made = [space if w == b" " else m for w, m in zip(part, made)]
+        ids.append(np.fromiter(chain.from_iterable(made), np.int64))
+        lengths.append(np.fromiter(map(len, made), np.int64, len(made)))
+    return np.concatenate(ids), np.concatenate(lengths)
+
+
+class Stretch:
     """Aligned documents: all arrays run over the documents in a row."""
 
     def __init__(self, tokens: Tokenizers, encode, texts: list[str | None]):
@@ -158,12 +198,12 @@ class Block:
         whole = [i for i, t in enumerate(texts) if t]
         a, b = encode([texts[i] for i in whole])
         kept, kept_a, kept_b = [], [], []
+        sizes_a, sizes_b = tokens.sizes
+        spelled = tokens.b_bytes.__getitem__
         for i, x, y in zip(whole, a, b):
             data = b" " + texts[i].encode()
-            if (
-                b"".join([tokens.a_bytes[t] for t in x.tolist()]) == data
-                and b"".join([tokens.b_bytes[t] for t in y.tolist()]) == data
-            ):
+            # A byte-level tokenizer keeps the bytes it is given.
+            if sizes_a[x].sum() == len(data) and b"".join(map(spelled, y.tolist())) == data:
                 kept.append(i)
                 kept_a.append(x)
                 kept_b.append(y)
@@ -172,8 +212,6 @@ class Block:
         self.n_b = np.fromiter(map(len, kept_b), np.int64, len(kept))
         none = [np.zeros(0, np.int64)]
         self.a, self.b = np.concatenate(kept_a or none), np.concatenate(kept_b or none)
-        sizes_a = np.fromiter(map(len, tokens.a_bytes), np.int64, len(tokens.a_bytes))
-        sizes_b = np.fromiter(map(len, tokens.b_bytes), np.int64, len(tokens.b_bytes))
         self.end_a, self.end_b = np.cumsum(sizes_a[self.a]), np.cumsum(sizes_b[self.b])
         self.last_a, self.last_b = np.cumsum(self.n_a) - 1, np.cumsum(self.n_b) - 1
         self.cut_a, self.cut_b = shared_cuts(self.end_a, self.end_b, self.last_a, self.last_b)
@@ -205,8 +243,8 @@ class Block:
     def groups(self) -> Iterator[str]:
         """``a1,a2|b1;a3|b2,b3`` of each kept document."""
         n = len(self.cut_a)
-        of_a = np.searchsorted(self.cut_a, np.arange(len(self.a)))
-        of_b = np.searchsorted(self.cut_b, np.arange(len(self.b)))
+        of_a = np.repeat(np.arange(n), np.diff(self.cut_a, prepend=-1))
+        of_b = np.repeat(np.arange(n), np.diff(self.cut_b, prepend=-1))
         # In a group the tokens of a come first, then those of b.
         before_b = np.concatenate([[0], self.cut_b + 1])[:n]
         place_a = np.arange(len(self.a)) + before_b[of_a]
@@ -242,6 +280,61 @@ def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int64()))
 
 
+class _Block:
+    """Results of the documents of a block, and its pairs."""
+
+    def __init__(self, number: int):
+        self.number, self.chars = number, 0
+        self.ids: list = []
+        self.numbers: list[np.ndarray] = []
+        self.groups: list[str] = []
+        self.lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, stretch: Stretch, ids: list, chars: int, keep_groups: bool) -> None:
+        doc, pair = stretch.links()
+        kept, docs = stretch.kept, len(stretch.kept)
+        numbers = np.zeros((4, stretch.docs), np.int64)
+        of_cut = np.searchsorted(stretch.last_a, stretch.cut_a)
+        numbers[:, kept] = (
+            stretch.n_a,
+            stretch.n_b,
+            np.bincount(of_cut, minlength=docs),
+            np.bincount(doc, minlength=docs),
+        )
+        groups = np.full(stretch.docs, "", object)
+        for i, text in zip(kept.tolist(), stretch.groups()):
+            groups[i] = text if keep_groups else hashlib.sha256(text.encode()).hexdigest()
+        distinct, of = np.unique(pair, return_inverse=True)
+        keyed, counts = np.unique(kept[doc] * len(distinct) + of, return_counts=True)
+        owner, own = np.divmod(keyed, max(len(distinct), 1))
+        self.lists.append((np.bincount(owner, minlength=stretch.docs), distinct[own], counts))
+        self.numbers.append(numbers)
+        self.groups += groups.tolist()
+        self.ids += ids
+        self.chars += chars
+
+    def rows(self, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+        """A row per document, and one for the block at place -1."""
+        sizes, pairs, counts = (np.concatenate(c) for c in zip(*self.lists))
+        ends = np.cumsum(sizes)
+        columns = [
+            pa.array(self.ids, kind),
+            pa.array(np.full(len(ends), self.number), pa.int64()),
+            pa.array(np.arange(len(ends)), pa.int32()),
+            *(pa.array(v, pa.int64()) for v in np.concatenate(self.numbers, axis=1)),
+            pa.array(self.groups, pa.string()),
+            _lists(pairs, ends),
+            _lists(counts, ends),
+        ]
+        names = ["id", *_FOUND.names]
+        yield from pa.Table.from_arrays(columns, names).to_batches(5_000)
+        distinct, of = np.unique(pairs, return_inverse=True)
+        total = np.bincount(of, counts, len(distinct)).astype(np.int64)
+        whole = [self.number], [-1], *[[0]] * 4, [""], [distinct], [total]
+        made = [pa.array(v, f.type) for v, f in zip(whole, _FOUND)]
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), *made], names)
+
+
 def aligned(
     docs: DataFrame,
     byte_bpe: str,
@@ -265,71 +358,32 @@ def aligned(
     are ignored under any name.
     """
     tokens = Tokenizers(byte_bpe, pieces)
-    kind = docs.schema[id_col].dataType
-    ddl = f"id {kind.simpleString()}, {_BLOCK}"
+    id_type = docs.schema[id_col].dataType.simpleString()
+    kind = to_arrow_type(docs.schema[id_col].dataType)
+    ddl = f"id {id_type}, {_BLOCK}"
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encode = tokens.opened()
-        number = TaskContext.get().partitionId() << 32
-        held_ids: list[pa.Array] = []
-        texts: list[str | None] = []
-        chars = 0
-
-        def out() -> Iterator[pa.RecordBatch]:
-            block = Block(tokens, encode, texts)
-            doc, pair = block.links()
-            numbers = {}
-            docs_kept = len(block.kept)
-            counted = {
-                "n_a": block.n_a,
-                "n_b": block.n_b,
-                "n_groups": np.bincount(
-                    np.searchsorted(block.last_a, block.cut_a), minlength=docs_kept
-                ),
-                "n_links": np.bincount(doc, minlength=docs_kept),
-            }
-            for name, values in counted.items():
-                numbers[name] = np.zeros(block.docs, np.int64)
-                numbers[name][block.kept] = values
-            groups = np.full(block.docs, "", object)
-            for i, text in zip(block.kept.tolist(), block.groups()):
-                groups[i] = text if keep_groups else hashlib.sha256(text.encode()).hexdigest()
-            # Distinct pairs per document, then those of the block.
-            distinct, of = np.unique(pair, return_inverse=True)
-            keyed, counts = np.unique(block.kept[doc] * len(distinct) + of, return_counts=True)
-            owner, own = np.divmod(keyed, max(len(distinct), 1))
-            ends = np.searchsorted(owner, np.arange(block.docs), "right")
-            ids = pa.chunked_array(held_ids).combine_chunks()
-            columns = [
-                pa.array(np.full(block.docs, number), pa.int64()),
-                pa.array(np.arange(block.docs), pa.int32()),
-                *(pa.array(v, pa.int64()) for v in numbers.values()),
-                pa.array(groups, pa.string()),
-                _lists(distinct[own], ends),
-                _lists(counts, ends),
-            ]
-            names = ["id", *_FOUND.names]
-            yield from pa.Table.from_arrays([ids, *columns], names).to_batches(5_000)
-            # The block itself stands at place -1.
-            whole = [number], [-1], *[[0]] * 4, [""], [distinct], [np.bincount(of)]
-            made = [pa.array(v, f.type) for v, f in zip(whole, _FOUND)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, ids.type), *made], names)
-
+        block = _Block(TaskContext.get().partitionId() << 32)
+        ids, texts, chars = [], [], 0
         for batch in batches:
-            start = 0
-            for i, text in enumerate(batch["text"].to_pylist()):
+            for own, text in zip(batch["id"], batch["text"].to_pylist()):
                 size = len(text or "")
-                if texts and chars + size > BLOCK_CHARS:
-                    held_ids.append(batch["id"].slice(start, i - start))
-                    yield from out()
-                    held_ids, texts, chars, start, number = [], [], 0, i, number + 1
+                if texts and chars + size > STRETCH_CHARS:
+                    block.add(Stretch(tokens, encode, texts), ids, chars, keep_groups)
+                    ids, texts, chars = [], [], 0
+                if block.ids and block.chars + size > BLOCK_CHARS:
+                    yield from block.rows(kind)
+                    block = _Block(block.number + 1)
+                ids.append(own.as_py())
                 texts.append(text)
                 chars += size
-            held_ids.append(batch["id"].slice(start))
         if texts:
-            yield from out()
+            block.add(Stretch(tokens, encode, texts), ids, chars, keep_groups)
+        if block.ids:
+            yield from block.rows(kind)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = settle(rows.mapInArrow(align, ddl))
@@ -369,7 +423,7 @@ def aligned(
         )
 
     schema = (
-        f"id {kind.simpleString()}, n_a long, n_b long, n_groups long, n_links long, "
+        f"id {id_type}, n_a long, n_b long, n_groups long, n_links long, "
         "n_best long, count_sum long, groups string"
     )
     counted = per_doc.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(count, schema)
