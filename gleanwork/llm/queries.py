@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.llm import alignment, edits, exact, katz, lexicon, packing, quality, runindex
-from gleanwork.llm import sharding, simhash, substring, warc
+from gleanwork.llm import alignment, edits, exact, katz, lexicon, packing, quality, repair
+from gleanwork.llm import runindex, sharding, simhash, substring, warc
 
 
 def tokenizer() -> str:
@@ -126,6 +126,11 @@ def op10_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_viterbi_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.repair(rows)
+
+
 def op12_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -170,6 +175,7 @@ QUERIES = {
         op8_katz_scores,
         op9_label_shards,
         op10_transducer_bpe,
+        op11_viterbi_repair,
         op12_cut_alignment,
         op13_run_index_dedup,
     )
