@@ -25,6 +25,7 @@ import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gleanwork.llm.chunks import chunked, mixed, opened
@@ -138,10 +139,11 @@ class Chunk:
         self.anchor = at[self.first]
         self.owner = np.searchsorted(ends, self.first, "right")
         self.hashes = np.zeros(len(self.first), np.int64)
-        for a in range(0, windows, _AT_ONCE):
+        for a in range(0, len(raw), _AT_ONCE):  # anchors go on behind the last window
             i, j = np.searchsorted(self.anchor, [a, a + _AT_ONCE])
-            hashes = _seeds(raw[a : a + _AT_ONCE + self.seed - 1], self.seed)
-            self.hashes[i:j] = hashes[self.anchor[i:j] - a].view(np.int64)
+            if j > i:
+                hashes = _seeds(raw[a : a + _AT_ONCE + self.seed - 1], self.seed)
+                self.hashes[i:j] = hashes[self.anchor[i:j] - a].view(np.int64)
 
     def bytes_of(self, first: int, last: int) -> bytes:
         return self.data[first : last + self.span]
@@ -382,10 +384,8 @@ def repeated_bytes(
     """
     if not 8 <= seed <= span:
         raise ValueError("seed has 8 bytes at least and span as many at most")
-    names, spark = Text(id_col, text_col), docs.sparkSession
+    names = Text(id_col, text_col)
     held = settle(chunked(docs, text_col))
-    row_type = spark.createDataFrame([], docs.schema).select(F.struct("*").alias("row"))
-    row_ddl = row_type.schema["row"].dataType.simpleString()
     hot = HOT_PIECES
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -499,5 +499,12 @@ def repeated_bytes(
             )
         return pa.concat_tables(tables)
 
-    schema = f"row {row_ddl}, n_bytes long, spans array<array<bigint>>, kept binary"
+    spans = T.ArrayType(T.ArrayType(T.LongType()))
+    schema = (
+        T.StructType()
+        .add("row", docs.schema)
+        .add("n_bytes", T.LongType())
+        .add("spans", spans)
+        .add("kept", T.BinaryType())
+    )
     return held.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(mend, schema)
