@@ -447,3 +447,147 @@ def density_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def density_purity(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_purity = lambda df: cluster_metrics.purity(df, "label", "cluster").first()["purity"]
     return density_search(spark, sf_dir, by_purity)
+
+
+# --- a whole study, its winner and the refit of it ----------------------------
+
+STUDY_GRID = {"dbscan": {"eps": [0.08, 0.4], "min_samples": [6]}}
+STUDY_SCALERS = ["standard", "min_max"]
+
+STUDY = f"""
+raw as (select vec_id, label, unnest([
+            {', '.join(f"{{'s': {i}, 'a': {a}, 'b': {b}, 'c': {c}}}" for i, (a, b, c) in enumerate(SETS))}
+        ], recursive := true) from vectors),
+scaled as (
+    select s, 0 as k, vec_id, label,
+           {', '.join(f"({c} - avg({c}) over w) / stddev_pop({c}) over w as {c}" for c in "abc")}
+    from raw window w as (partition by s)
+    union all
+    select s, 1, vec_id, label,
+           {', '.join(f"({c} - min({c}) over w) / (max({c}) over w - min({c}) over w)" for c in "abc")}
+    from raw window w as (partition by s)),
+pairs as (select x.s, x.k, x.vec_id as a, y.vec_id as b,
+                 sqrt(pow(x.a - y.a, 2) + pow(x.b - y.b, 2) + pow(x.c - y.c, 2)) as d
+          from scaled x join scaled y on x.s = y.s and x.k = y.k),
+tenth as (select s, k, d as distance from pairs
+          qualify row_number() over (partition by s, k, a order by d) = 11),
+placed as (select s, k, distance, row_number() over (partition by s, k order by distance) - 1 as pos,
+                  count(*) over (partition by s, k) - 1 as n,
+                  min(distance) over (partition by s, k) as low,
+                  max(distance) over (partition by s, k) as high
+           from tenth),
+knees as (select s, k, pos as knee_position, distance as knee_distance from placed
+          qualify row_number() over (partition by s, k order by
+              round(pos / n - (distance - low) / (high - low), 12) desc, pos) = 1),
+settings as (select unnest([0.08, 0.4]::double[]) as eps),
+near as (select s, k, eps, a, b from pairs, settings where d <= eps),
+core as (select s, k, eps, a from near group by all having count(*) >= 6),
+links as (select near.* from near join core c using (s, k, eps, a)
+          join core o on o.s = near.s and o.k = near.k and o.eps = near.eps and o.a = near.b),
+reach(s, k, eps, node, label) as (
+    select s, k, eps, a, a from core
+    union
+    select l.s, l.k, l.eps, l.b, r.label from reach r join links l
+    on l.s = r.s and l.k = r.k and l.eps = r.eps and l.a = r.node where l.b > r.label),
+cores as (select s, k, eps, node, min(label) as seed from reach group by all),
+borders as (select near.s, near.k, near.eps, near.a as node, min(cores.seed) as seed
+            from near join cores on cores.s = near.s and cores.k = near.k
+                 and cores.eps = near.eps and cores.node = near.b group by all),
+made as (select v.s, v.k, e.eps, v.vec_id, v.label, v.a, v.b, v.c,
+                coalesce(cores.seed, borders.seed, -1) as seed
+         from scaled v cross join settings e
+         left join cores on cores.s = v.s and cores.k = v.k and cores.eps = e.eps
+              and cores.node = v.vec_id
+         left join borders on borders.s = v.s and borders.k = v.k and borders.eps = e.eps
+              and borders.node = v.vec_id),
+numbered as (select *, case when seed = -1 then -1 else dense_rank() over (
+                 partition by s, k, eps, seed = -1 order by seed) - 1 end as cluster from made),
+sums as (select p.s, p.k, x.eps, p.a, x.cluster as own, y.cluster as other, sum(p.d) as total,
+                count(*) as n
+         from pairs p join numbered x on x.s = p.s and x.k = p.k and x.vec_id = p.a
+         join numbered y on y.s = p.s and y.k = p.k and y.vec_id = p.b and y.eps = x.eps
+         group by all),
+parts as (select s, k, eps, a as vec_id,
+                 max(case when own = other then total / nullif(n - 1, 0) end) as a,
+                 min(case when own <> other then total / n end) as b,
+                 max(case when own = other then n end) as n
+          from sums group by all),
+scores as (select s, k, eps, avg(case when b is null then null when n = 1 then 0.0
+                                 else coalesce((b - a) / nullif(greatest(a, b), 0), 0.0) end) as score
+           from parts where s < 2 group by all),
+trials as (select * from scores qualify row_number() over (
+               partition by s, k order by score desc nulls last, eps) = 1),
+best as (select * from trials where score > 0 order by score desc, s, k limit 1)
+"""
+
+
+def study(spark: SparkSession, sf_dir: str) -> sweep.Study:
+    points = settle(plain_vectors(spark, sf_dir))
+    return sweep.clustering_study(points, "vec_id", SETS[:2], STUDY_SCALERS, STUDY_GRID)
+
+
+@register(
+    "k12_density_study",
+    f"""with recursive {VECTORS}, {STUDY}
+        select array_to_string(list_extract([['f1', 'f2', 'f3'], ['f4', 'f5', 'f6']], t.s + 1), ' ')
+                   as features,
+               case t.k when 0 then 'standard' else 'min_max' end as scaler,
+               knee_position, round(knee_distance, 8) as knee_distance, t.eps,
+               round(t.score, 8) as score, coalesce(b.s = t.s and b.k = t.k, false) as best
+        from trials t join knees using (s, k) left join best b on true""",
+)
+def density_study(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each scaled set with its knee, best candidate and whether it won."""
+    found = study(spark, sf_dir)
+    won = found.winner
+    is_best = F.lit(False) if won is None else (
+        (F.col("features") == F.array(*[F.lit(f) for f in won.features]))
+        & (F.col("scaler") == won.scaler)
+        & (F.col("model") == won.model)
+    )
+    return found.trials.join(found.knees, ["features", "scaler"]).select(
+        F.array_join("features", " ").alias("features"),
+        "scaler",
+        F.col("position").alias("knee_position"),
+        F.round("distance", 8).alias("knee_distance"),
+        F.col("params")["eps"].cast("double").alias("eps"),
+        F.round("score", 8).alias("score"),
+        is_best.alias("best"),
+    )
+
+
+@register(
+    "k12_best_matrix",
+    f"""with recursive {VECTORS}, {STUDY}
+        select vec_id, round(a, 8) as x1, round(b, 8) as x2, round(c, 8) as x3, cluster
+        from numbered join best using (s, k, eps)""",
+)
+def best_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scaled matrix of the best trial with its labels."""
+    won = study(spark, sf_dir).winner
+    if won is None:
+        raise ValueError("no trial has a score above 0")
+    scaled = [F.round(c, 8).alias(f"x{i + 1}") for i, c in enumerate(won.features)]
+    return won.matrix.join(won.labels, "vec_id").select("vec_id", *scaled, "cluster")
+
+
+@register(
+    "k13_winner_purity",
+    f"""with recursive {VECTORS}, {STUDY},
+        won as (select n.s, n.cluster, n.label from numbered n join best b on n.k = b.k and n.eps = b.eps),
+        counts as (select s, cluster, label, count(*) as n from won group by all),
+        largest as (select s, cluster, max(n) as largest, sum(n) as n from counts group by s, cluster)
+        select s as feature_set, count(*) filter (cluster <> -1) as clusters,
+               round(sum(largest) / sum(n), 9) as purity
+        from largest group by s""",
+)
+def winner_purity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winner of the study refitted on every feature set."""
+    points = settle(plain_vectors(spark, sf_dir))
+    won = sweep.clustering_study(points, "vec_id", SETS[:2], STUDY_SCALERS, STUDY_GRID).winner
+    if won is None:
+        raise ValueError("no trial has a score above 0")
+    tables = sweep.refit_winner(points, "vec_id", "label", SETS, won)
+    return sweep.refit_report(tables, "label").select(
+        "feature_set", "clusters", F.round("purity", 9).alias("purity")
+    )

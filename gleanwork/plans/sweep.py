@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from itertools import product
 from typing import Any
 
@@ -14,9 +15,10 @@ from gleanwork.operators import classification, cluster_metrics, scalers
 from gleanwork.operators.centroids import gaussian_mixture, kmeans
 from gleanwork.operators.dbscan import dbscan
 from gleanwork.operators.mean_shift import mean_shift
+from gleanwork.operators.neighbours import distance_curve, knee
 from gleanwork.operators.preparation import numeric_columns
 from gleanwork.operators.silhouette import mean_silhouette
-from gleanwork.session import settle, side_by_side, tidy
+from gleanwork.session import Shelf, settle, side_by_side, tidy
 
 # --- fixed values -----------------------------------------------------------
 # [start, end, step] with an exclusive end where the first value is an int,
@@ -224,7 +226,37 @@ def cluster_search(
     return [(params, known[key(params)]) for params in tried]
 
 
-def clustering_sweep(
+@dataclass(frozen=True)
+class Winner:
+    """The best trial of a study with what it was fitted on.
+
+    ``matrix`` is ``<id, scaled columns>``, ``labels`` is ``<id, cluster>``.
+    Both are written tables that outlive the study.
+    """
+
+    model: str
+    scaler: str
+    features: list[str]
+    params: dict[str, Any]
+    score: float
+    matrix: DataFrame
+    labels: DataFrame
+
+
+@dataclass(frozen=True)
+class Study:
+    """A clustering sweep: a trial per feature set, scaler and model, the knee
+    of each scaled set, and the winner (None if no score is above 0)."""
+
+    trials: DataFrame
+    knees: DataFrame
+    winner: Winner | None
+
+
+_KNEES = "features array<string>, scaler string, position long, distance double"
+
+
+def clustering_study(
     df: DataFrame,
     id_col: str,
     feature_sets: Sequence[Sequence[str]],
@@ -232,23 +264,83 @@ def clustering_sweep(
     grids: Mapping[str, Mapping] = CLUSTER_GRIDS,
     scorer: Callable[[str, Sequence[str]], Scorer] = silhouette_scorer,
     seed: int = 0,
-) -> DataFrame:
-    """One trial per feature set, scaler and model with its best parameters
-    (K-12). Every scaler starts from the unscaled columns."""
-    rows = []
+    neighbour: int = 10,
+) -> Study:
+    """Search every model on every scaled feature set (K-12).
+
+    Every scaler starts from the unscaled columns. A trial is the best
+    candidate of a model; the winner is the first trial with the highest score
+    above 0. Scratch tables are deleted set by set, but for the matrix and the
+    labels of the best trial so far: they move to a shelf outside, and a better
+    trial replaces them. The knee of the curve of distances to the
+    ``neighbour``-th neighbour is taken once per scaled set; a table of one
+    row has no knee.
+    """
+    spark = df.sparkSession
+    shelf, winner, highest = Shelf(spark), None, 0.0
+    rows, knees = [], []
     for features in feature_sets:
         columns = numeric_columns(df.select(*features))
         score_by = scorer(id_col, columns)
         for scaler in scaler_names:
-            with tidy(df.sparkSession):
+            with tidy(spark):
                 scaled = settle(scalers.scale(df.select(id_col, *columns), columns, scaler))
+                bend = knee(settle(distance_curve(scaled, columns, neighbour))).first()
+                knees.append((list(features), scaler, *(bend or (None, None))))
+                best = None
                 for model, grid in grids.items():
                     searched = cluster_search(
                         model, candidates(grid), scaled, id_col, columns, score_by, seed
                     )
                     params, score = classification.best_candidate(searched)
                     rows.append((model, scaler, list(features), _as_text(params), score))
-    return _trial_table(df.sparkSession, rows)
+                    if score is not None and score > highest:
+                        best, highest = (model, dict(params)), score
+                if best:
+                    labels = cluster(*best, scaled, id_col, columns, seed)
+                    held = shelf.put(scaled, labels.select(id_col, "cluster"))
+                    winner = Winner(best[0], scaler, list(features), best[1], highest, *held)
+    return Study(_trial_table(spark, rows), spark.createDataFrame(knees, _KNEES), winner)
+
+
+def clustering_sweep(
+    df: DataFrame,
+    id_col: str,
+    feature_sets: Sequence[Sequence[str]],
+    scaler_names: Sequence[str] = SCALER_NAMES,
+    grids: Mapping[str, Mapping] = CLUSTER_GRIDS,
+    scorer: Callable[[str, Sequence[str]], Scorer] = silhouette_scorer,
+    seed: int = 0,
+) -> DataFrame:
+    """The trials of ``clustering_study`` (K-12)."""
+    return clustering_study(df, id_col, feature_sets, scaler_names, grids, scorer, seed).trials
+
+
+def refit_winner(
+    df: DataFrame,
+    id_col: str,
+    label: str,
+    feature_sets: Sequence[Sequence[str]],
+    winner: Winner,
+    seed: int = 0,
+) -> list[DataFrame]:
+    """The winner's scaler, model and parameters on every feature set:
+    ``<id, label, features, cluster>`` tables (K-13). Its own feature set is
+    not fitted again: matrix and labels of the study are joined to the rows."""
+
+    def fit(features: Sequence[str]) -> DataFrame:
+        if list(features) == winner.features:
+            found = winner.matrix.join(winner.labels, id_col)
+            return settle(
+                df.select(id_col, label).join(found, id_col).select(
+                    id_col, label, *features, "cluster"
+                )
+            )
+        return refit(
+            df, id_col, label, [features], winner.scaler, winner.model, winner.params, seed
+        )[0]
+
+    return side_by_side(fit, feature_sets)
 
 
 def refit(

@@ -62,12 +62,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{_FOLDER.get()}/{uuid.uuid4().hex}/{name}"
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark).rstrip('/')}/{folder}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def tidy(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that are written inside.
 
     For jobs that end in numbers on the driver: nothing reads their tables
-    later.
+    later. What should outlive the block goes to a ``Shelf`` made before it.
     """
     folder = f"{_FOLDER.get()}/{uuid.uuid4().hex}"
     mark = _FOLDER.set(folder)
@@ -75,8 +80,31 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _FOLDER.reset(mark)
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark).rstrip('/')}/{folder}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
+
+
+class Shelf:
+    """Keeps the tables of the best result so far.
+
+    A shelf lies in the folder that was current when it was made, so tables
+    put there inside a ``tidy`` block stay when the block ends. Putting new
+    tables deletes those they replace.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.outer, self.held = spark, _FOLDER.get(), None
+
+    def put(self, *tables: DataFrame) -> list[DataFrame]:
+        """Write ``tables`` to the shelf in place of what lies there."""
+        before, self.held = self.held, f"{self.outer}/{uuid.uuid4().hex}"
+        mark = _FOLDER.set(self.held)
+        try:
+            kept = [settle(t) for t in tables]
+        finally:
+            _FOLDER.reset(mark)
+        if before:
+            _delete(self.spark, before)
+        return kept
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -1,5 +1,8 @@
+import glob
+import os
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +139,47 @@ def test_a_failed_search_leaves_no_scratch_tables(spark):
         settle(spark.range(3))
         1 / 0
     assert set(root.rglob("*")) == before
+
+
+def _scratch_tables(spark):
+    from gleanwork.session import scratch_dir
+
+    root = scratch_dir(spark).removeprefix("file:")
+    return {os.path.dirname(f) for f in glob.glob(f"{root}/**/_SUCCESS", recursive=True)}
+
+
+def test_study_keeps_the_winner_and_nothing_else(spark):
+    x = brute.blobs(4, spread=0.4)
+    y = np.random.default_rng(1).random(x.shape)
+    rows = [(i, *map(float, a), *map(float, b)) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double, e double, f double")
+    grids = {"dbscan": {"eps": [0.2, 0.5], "min_samples": [4]}}
+    sets = [["d", "e", "f"], ["a", "b", "c"]]
+    before = _scratch_tables(spark)
+    found = sweep.clustering_study(df, "id", sets, ["standard", "max_abs"], grids)
+    won = found.winner
+    trials = found.trials.collect()
+    first = max(trials, key=lambda t: (t["score"] or -1, -t["trial_no"]))
+    assert (won.score, won.scaler, won.features) == (first["score"], first["scaler"], first["features"])
+    assert len(_scratch_tables(spark) - before) == 2
+    scaled = sweep.scalers.scale(df.select("id", *won.features), won.features, won.scaler)
+    assert sorted(won.matrix.collect()) == sorted(scaled.select(won.matrix.columns).collect())
+    again = sweep.cluster(won.model, won.params, scaled, "id", won.features)
+    assert sorted(won.labels.collect()) == sorted(again.select("id", "cluster").collect())
+    knees = {(tuple(k["features"]), k["scaler"]) for k in found.knees.collect()}
+    assert knees == {(tuple(s), n) for s in sets for n in ("standard", "max_abs")}
+    labelled = df.withColumn("label", F.col("id") % 3)
+    tables = sweep.refit_winner(labelled, "id", "label", sets, won)
+    assert [t.columns for t in tables] == [["id", "label", *s, "cluster"] for s in sets]
+    own = {r["id"]: r["cluster"] for r in tables[sets.index(won.features)].collect()}
+    assert own == {r["id"]: r["cluster"] for r in won.labels.collect()}
+
+
+def test_study_without_a_score_has_no_winner(spark):
+    rows = [(i, float(i), 0.5, 1.0) for i in range(12)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double")
+    found = sweep.clustering_study(
+        df, "id", [["a", "b"]], ["standard"], {"dbscan": {"eps": [0.001], "min_samples": [3]}}
+    )
+    assert found.winner is None and found.trials.first()["score"] is None
+    assert found.knees.count() == 1
