@@ -1,26 +1,23 @@
 """Exact nearest neighbours, votes and the neighbour-distance curve.
 
-The search follows the partition-based kNN join: points gather around pivots,
-triangle inequalities tell which pivots can hold a neighbour, and only those
-parts meet. The bounds are safe, so no neighbour is ever missed.
+The search runs over a tree of pivots (``pivot_tree``): train points gather in
+leaves, test points descend to the leaves that can hold a neighbour, and only
+those parts meet.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gleanwork.functions.joins import attach
 from gleanwork.functions.numbering import running_total
+from gleanwork.operators import pivot_tree
 from gleanwork.operators.blocks import (
-    BLOCK_ROWS,
     as_point,
     meet,
     packed,
@@ -29,108 +26,6 @@ from gleanwork.operators.blocks import (
 )
 from gleanwork.session import settle
 
-MAX_PIVOTS = 8192
-_BOUND_FROM = 16  # pivots that give the first bound
-_CHUNK = 512  # rows of one distance matrix against all pivots
-_SLACK = 1e-9
-
-
-def _pivots(train: DataFrame, rows: int, count: int) -> np.ndarray:
-    """A reproducible random choice of about ``count`` train points.
-
-    The hash of a point decides; a threshold leaves a few times ``count``
-    candidates, so the final choice stays small whatever the table size.
-    """
-    hashed = train.select("_x", F.xxhash64("_x").alias("_hash"))
-    if rows > 16 * count:
-        share = int(4 * count / rows * 2**64)
-        hashed = hashed.filter(F.col("_hash") < F.lit(-(2**63) + share))
-    chosen = hashed.orderBy("_hash", "_x").limit(count)
-    return np.array([r["_x"] for r in chosen.collect()], dtype=float)
-
-
-def _gathered(train: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Add the nearest pivot and the distance to it."""
-    schema = T.StructType(
-        [
-            *train.schema.fields,
-            T.StructField("pivot", T.IntegerType()),
-            T.StructField("off", T.DoubleType()),
-        ]
-    )
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for a in range(0, len(batch), _CHUNK):
-                part = batch.iloc[a : a + _CHUNK]
-                away = squared_distances(np.stack(part["_x"].to_numpy()), pivots)
-                nearest = away.argmin(axis=1)
-                yield part.assign(
-                    pivot=nearest.astype("int32"),
-                    off=np.sqrt(away[np.arange(len(part)), nearest]),
-                )
-
-    return train.mapInPandas(assign, schema)
-
-
-def _targets(
-    test: DataFrame,
-    pivots: np.ndarray,
-    radius: np.ndarray,
-    closest: np.ndarray,
-    k: int,
-) -> DataFrame:
-    """One row per test point and pivot that can hold one of its neighbours.
-
-    ``closest[j]`` lists the distances of the k train points nearest to pivot
-    j (inf where there are fewer); distance to the pivot plus one of these is
-    an upper bound for the distance to that train point.
-    """
-    schema = T.StructType([*test.schema.fields, T.StructField("pivot", T.IntegerType())])
-    between = np.sqrt(squared_distances(pivots, pivots))
-
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for a in range(0, len(batch), _CHUNK):
-                part = batch.iloc[a : a + _CHUNK]
-                away = np.sqrt(squared_distances(np.stack(part["_x"].to_numpy()), pivots))
-                n = len(part)
-                use = min(_BOUND_FROM, len(pivots))
-                near = np.argpartition(away, use - 1, axis=1)[:, :use]
-                line = np.arange(n)[:, None]
-                bounds = (away[line, near][:, :, None] + closest[near]).reshape(n, -1)
-                bound = np.partition(bounds, k - 1, axis=1)[:, k - 1]
-                own = away.argmin(axis=1)
-                near_own = away[np.arange(n), own]
-                apart = between[own]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    plane = (away**2 - near_own[:, None] ** 2) / (2 * apart)
-                plane = np.where(apart > 0, plane, 0.0)
-                lower = np.maximum(away - radius[None, :], plane)
-                limit = bound * (1 + _SLACK) + _SLACK
-                rows, target = np.nonzero(lower <= limit[:, None])
-                yield part.iloc[rows].assign(pivot=target.astype("int32"))
-
-    return test.mapInPandas(choose, schema)
-
-
-def _reach_of(gathered: DataFrame, pivots: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Radius of each pivot's part and its k smallest offsets: at most k rows
-    per pivot reach the driver."""
-    by_off = Window.partitionBy("pivot").orderBy("off", "_train")
-    first = (
-        gathered.select("pivot", "off", "_train")
-        .withColumn("i", F.row_number().over(by_off))
-        .filter(F.col("i") <= k)
-    )
-    closest = np.full((pivots, k), np.inf)
-    for row in first.collect():
-        closest[row["pivot"], row["i"] - 1] = row["off"]
-    radius = np.full(pivots, -np.inf)
-    for row in gathered.groupBy("pivot").agg(F.max("off").alias("r")).collect():
-        radius[row["pivot"]] = row["r"]
-    return radius, closest
-
 
 def nearest(
     test: DataFrame,
@@ -139,7 +34,6 @@ def nearest(
     test_key: str,
     train_key: str,
     carry: Sequence[str] = (),
-    pivots: int | None = None,
 ) -> DataFrame:
     """``<test_key, place, train_key, carried..., distance>`` with the ``k``
     nearest train points of every test point, ties by ``train_key``.
@@ -150,25 +44,13 @@ def nearest(
     carry = list(carry)
     train = train.select(F.col(train_key).alias("_train"), *carry, "_x")
     test = test.select(F.col(test_key).alias("_test"), "_x")
-    # A cell should fill about one block.
-    count = train.count()
-    wanted = min(pivots or math.ceil(count / BLOCK_ROWS), MAX_PIVOTS, 1_000_000 // k)
-    centres = _pivots(train, count, max(1, wanted))
-    if len(centres) <= 1:
-        # One part holds everything; there is nothing to choose from.
-        train_blocks = packed(
-            train.withColumn("pivot", F.lit(0)), "pivot", ["_train", *carry]
-        )
-        visits = test.withColumn("pivot", F.lit(0))
-    else:
-        gathered = settle(_gathered(train, centres))
-        radius, closest = _reach_of(gathered, len(centres), k)
-        train_blocks = packed(gathered, "pivot", ["_train", *carry])
-        visits = _targets(test, centres, radius, closest, k)
-    test_blocks = packed(visits, "pivot", ["_test"])
+    tree = pivot_tree.build(train, "_train", carry, k)
+    train_blocks = packed(tree.points, "node", ["_train", *carry])
+    visits = pivot_tree.visits(test, tree, "_test", k)
+    test_blocks = packed(visits, "node", ["_test"])
     pairs = (
-        test_blocks.select(F.col("block").alias("l_block"), "pivot")
-        .join(train_blocks.select(F.col("block").alias("r_block"), "pivot"), "pivot")
+        test_blocks.select(F.col("block").alias("l_block"), "node")
+        .join(train_blocks.select(F.col("block").alias("r_block"), "node"), "node")
     )
 
     def kernel(row: dict) -> dict:

@@ -13,7 +13,7 @@ The bounds are safe, so no neighbour is ever missed.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -24,120 +24,127 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gleanwork.functions.joins import fits_broadcast, term_join
-from gleanwork.operators.blocks import BLOCK_ROWS, squared_distances
+from gleanwork.functions.numbering import numbered
+from gleanwork.operators.blocks import BLOCK_ROWS, packed, squared_distances
 from gleanwork.session import settle
 
 #: Most points of a leaf, and most pivots of a node.
 LEAF_ROWS = 4 * BLOCK_ROWS
 FAN = 256
 
-_ROWS = 512  # rows of one distance matrix
+_BOUND_FROM = 16  # children that give a first bound
 _SLACK = 1e-9
 
-#: A node's pivots: ids of the children, coordinates in a row, and per child
-#: its radius and the smallest offsets from its pivot (padded with infinity).
-_CHILDREN = (
-    "node long, children array<bigint>, pivots array<double>, "
-    "radius array<double>, closest array<double>"
-)
-
 
 class Tree(NamedTuple):
     """``points`` are the train points with the leaf ``node`` they ended in;
-    ``levels`` the pivots of the nodes of each depth. The root is node 0."""
+    ``levels`` the nodes of each depth that were split: ids of their children,
+    their pivots in a row, and per child its radius and the smallest offsets
+    from its pivot (padded with infinity). The root is node 0."""
 
     points: DataFrame
     levels: list[DataFrame]
 
 
-def _join_on_node(rows: DataFrame, nodes: DataFrame, spread_by: str) -> DataFrame:
-    """Rows with the pivots of their node: broadcast while they are few, else
-    shuffled with salts, as one node may hold most rows."""
-    return term_join(rows, nodes, "node", spread_by, fits_broadcast(nodes))
+def _blocks_of(rows: DataFrame, nodes: DataFrame, carry: list[str]) -> DataFrame:
+    """Blocks of rows of one node each, with the node's pivots: broadcast while
+    they are few, else shuffled with salts, as one node may hold most blocks."""
+    blocks = packed(rows, "node", carry)
+    return term_join(blocks, nodes, "node", "block", fits_broadcast(nodes))
 
 
-def build(train: DataFrame, key: str, k: int) -> Tree:
-    """The tree of ``<key, _x, ...>``; ``k`` nearest points are kept per node."""
-    points = settle(train.withColumn("node", F.lit(0).cast("long")))
+def build(train: DataFrame, key: str, carry: Sequence[str], k: int) -> Tree:
+    """The tree of ``<key, carried..., _x>``; the offsets of the ``k`` nearest
+    points are kept per node."""
+    kept = [key, *carry]
+    points = train.select(*kept, "_x", F.lit(0).cast("long").alias("node"))
     levels: list[DataFrame] = []
+    if points.count() <= LEAF_ROWS:
+        return Tree(points, levels)
+    next_node = 1
     while True:
         # A node of one point, however often repeated, cannot be split. Each
         # of two or more pivots keeps its own points, so every part is smaller.
         sizes = points.groupBy("node").agg(
             F.count(F.lit(1)).alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high")
         )
-        open_ = settle(sizes.filter((F.col("n") > LEAF_ROWS) & (F.col("low") != F.col("high"))))
-        if open_.isEmpty():
+        large = sizes.filter((F.col("n") > LEAF_ROWS) & (F.col("low") != F.col("high")))
+        wanted = F.least(F.ceil(F.col("n") / LEAF_ROWS) + 1, F.lit(FAN)).alias("wanted")
+        open_ = settle(numbered(large.select("node", "n", wanted), [F.col("node")], "number"))
+        count = open_.count()
+        if not count:
             return Tree(points, levels)
-        wanted = F.least(F.ceil(F.col("n") / LEAF_ROWS) + 1, F.lit(FAN))
-        inner = settle(
-            term_join(points, open_.select("node", wanted.alias("wanted")), "node", key,
-                      fits_broadcast(open_))
-        )
+        small = fits_broadcast(open_)
+        inner = settle(term_join(points, open_, "node", key, small))
         by_hash = Window.partitionBy("node").orderBy("_hash", "_x")
-        pivots = (
-            inner.select("node", "wanted", "_x", F.xxhash64("_x").alias("_hash"))
+        # Children are numbered over the whole tree.
+        child = F.lit(next_node) + (F.col("number") - 1) * FAN + F.col("_place") - 1
+        pivots = settle(
+            inner.select("node", "number", "wanted", "_x", F.xxhash64("_x").alias("_hash"))
             .withColumn("_place", F.dense_rank().over(by_hash))
             .filter((F.col("_place") <= FAN) & (F.col("_place") <= F.col("wanted")))
-            .select("node", "_place", "_x")
+            .select("node", child.cast("long").alias("child"), "_x")
             .distinct()
         )
-        listed = F.array_sort(F.collect_list(F.struct("_place", "_x")))
-        chosen = settle(
-            pivots.groupBy("node")
-            .agg(listed.alias("p"))
-            .select(
-                "node",
-                F.transform("p", lambda p: p["_place"].cast("long")).alias("children"),
-                F.flatten(F.transform("p", lambda p: p["_x"])).alias("pivots"),
-            )
+        listed = F.array_sort(F.collect_list(F.struct("child", "_x")))
+        chosen = pivots.groupBy("node").agg(listed.alias("p")).select(
+            "node",
+            F.col("p.child").alias("children"),
+            F.flatten("p._x").alias("pivots"),
         )
-        dealt = settle(_assigned(_join_on_node(inner.drop("wanted"), chosen, key), train.schema))
-        levels.append(settle(_bounds(dealt, chosen, key, k)))
-        # Children are numbered anew over all nodes of the level.
+        dealt = settle(_assigned(inner.select(*kept, "_x", "node"), chosen, kept))
+        level = settle(_bounds(dealt, pivots, key, k))
+        smaller = level.join(open_.select("node", "n"), "node").filter(F.array_max("held") < F.col("n"))
+        if smaller.isEmpty():
+            # Points too close for their squared distances to tell them apart.
+            return Tree(points, levels)
+        levels.append(level)
         rest = points.join(
-            F.broadcast(open_.select("node")) if fits_broadcast(open_) else open_.select("node"),
+            F.broadcast(open_.select("node")) if small else open_.select("node"),
             "node",
             "left_anti",
         )
-        points = settle(
-            rest.unionByName(dealt.withColumn("node", F.col("child")).drop("child", "off"))
-        )
-
+        moved = dealt.select(*kept, "_x", F.col("child").alias("node"))
+        points = settle(rest.select(*moved.columns).unionByName(moved))
+        next_node += count * FAN
 
-def child_id(node: np.ndarray | int, place: np.ndarray) -> np.ndarray:
-    """Number of a child; distinct over the whole tree of a few levels."""
-    return np.int64(node) * np.int64(FAN + 1) + place
 
-
-def _assigned(rows: DataFrame, schema: T.StructType) -> DataFrame:
+def _assigned(rows: DataFrame, chosen: DataFrame, kept: list[str]) -> DataFrame:
     """Points with the ``child`` of the nearest pivot and the distance to it."""
-    kept = [f.name for f in schema]
+    blocks = _blocks_of(rows, chosen, kept)
+    types = {f.name: f for f in rows.schema}
     made = T.StructType(
-        [*schema.fields, T.StructField("node", T.LongType()), T.StructField("child", T.LongType()),
-         T.StructField("off", T.DoubleType())]
+        [
+            *(types[c] for c in [*kept, "_x", "node"]),
+            T.StructField("child", T.LongType()),
+            T.StructField("off", T.DoubleType()),
+        ]
     )
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for node, rows in batch.groupby("node", sort=False):
-                children = np.asarray(rows["children"].iloc[0])
-                pivots = np.asarray(rows["pivots"].iloc[0]).reshape(len(children), -1)
-                for a in range(0, len(rows), _ROWS):
-                    part = rows.iloc[a : a + _ROWS]
-                    away = squared_distances(np.stack(part["_x"].to_numpy()), pivots)
-                    nearest = away.argmin(axis=1)
-                    yield part[kept].assign(
-                        node=node,
-                        child=child_id(node, children[nearest]),
-                        off=np.sqrt(away[np.arange(len(part)), nearest]),
-                    )
-
-    return rows.mapInPandas(assign, made)
-
-
-def _bounds(dealt: DataFrame, chosen: DataFrame, key: str, k: int) -> DataFrame:
-    """``chosen`` with radius and nearest offsets of every child."""
+            for block in batch.to_dict("records"):
+                children = np.asarray(block["children"])
+                pivots = np.asarray(block["pivots"]).reshape(len(children), -1)
+                points = np.asarray(block["points"]).reshape(block["rows"], -1)
+                away = squared_distances(points, pivots)
+                nearest = away.argmin(axis=1)
+                yield pd.DataFrame(
+                    {
+                        **{c: block[c] for c in kept},
+                        "_x": list(points),
+                        "node": block["node"],
+                        "child": children[nearest],
+                        "off": np.sqrt(away[np.arange(len(points)), nearest]),
+                    }
+                )
+
+    return blocks.mapInPandas(assign, made)
+
+
+def _bounds(dealt: DataFrame, pivots: DataFrame, key: str, k: int) -> DataFrame:
+    """The nodes with children, pivots, radius, nearest offsets and rows held;
+    a child without points is out of any reach."""
     by_off = Window.partitionBy("child").orderBy("off", key)
     nearest = (
         dealt.select("child", "off", key)
@@ -146,80 +153,105 @@ def _bounds(dealt: DataFrame, chosen: DataFrame, key: str, k: int) -> DataFrame:
         .groupBy("child")
         .agg(F.array_sort(F.collect_list("off")).alias("closest"))
     )
-    far = dealt.groupBy("node", "child").agg(F.max("off").alias("radius"))
+    far = dealt.groupBy("child").agg(F.max("off").alias("radius"), F.count(F.lit(1)).alias("held"))
+    known = pivots.join(far, "child", "left").join(nearest, "child", "left")
+    none = F.array().cast("array<double>")
     padded = F.slice(
-        F.concat("closest", F.array_repeat(F.lit(math.inf), k)), 1, k
+        F.concat(F.coalesce("closest", none), F.array_repeat(F.lit(math.inf), k)), 1, k
     )
-    listed = F.array_sort(F.collect_list(F.struct("child", "radius", padded.alias("closest"))))
-    stats = far.join(nearest, "child").groupBy("node").agg(listed.alias("c"))
-    return chosen.select("node", "pivots").join(stats, "node").select(
+    child = F.struct(
+        "child",
+        F.col("_x").alias("pivot"),
+        F.coalesce("radius", F.lit(-math.inf)).alias("radius"),
+        padded.alias("closest"),
+        F.coalesce("held", F.lit(0)).alias("held"),
+    )
+    listed = known.groupBy("node").agg(F.array_sort(F.collect_list(child)).alias("c"))
+    return listed.select(
         "node",
         F.col("c.child").alias("children"),
-        "pivots",
+        F.flatten("c.pivot").alias("pivots"),
         F.col("c.radius").alias("radius"),
         F.flatten("c.closest").alias("closest"),
+        F.col("c.held").alias("held"),
     )
 
 
 def visits(test: DataFrame, tree: Tree, key: str, k: int) -> DataFrame:
     """``<key, _x, node>``: the leaves that can hold one of the ``k`` nearest
     train points of each test point."""
-    rows = test.select(key, "_x").withColumns(
-        {"node": F.lit(0).cast("long"), "lower": F.lit(0.0), "bound": F.lit(math.inf)}
+    rows = test.select(
+        key,
+        "_x",
+        F.lit(0).cast("long").alias("node"),
+        F.lit(0.0).alias("lower"),
+        F.lit(math.inf).alias("bound"),
     )
     for depth, level in enumerate(tree.levels):
-        inside = _join_on_node(rows, level, key)
-        down = _reached(inside, T.StructType([f for f in rows.schema]), k)
-        if depth:
-            # Leaves of earlier levels wait; all rows of a point share the
-            # best bound that one of them has found.
-            leaves = rows.join(level.select("node"), "node", "left_anti")
-            both = settle(down.unionByName(leaves.select(*down.columns)))
-            best = both.groupBy(key).agg(F.min("bound").alias("_best"))
-            limit = F.col("_best") * (1 + _SLACK) + _SLACK
-            rows = both.join(best, key).filter(F.col("lower") <= limit).select(
-                key, "_x", "node", "lower", F.col("_best").alias("bound")
-            )
-        else:
-            rows = down
-        rows = settle(rows)
+        if not depth:
+            rows = settle(_reached(rows, level, key, k))
+            continue
+        # Leaves of earlier levels wait; all rows of a point share the best
+        # bound that one of them has found.
+        nodes = level.select("node")
+        nodes = F.broadcast(nodes) if fits_broadcast(nodes) else nodes
+        down = _reached(rows.join(nodes, "node", "left_semi"), level, key, k)
+        leaves = rows.join(nodes, "node", "left_anti").select(*down.columns)
+        both = settle(down.unionByName(leaves))
+        best = both.groupBy(key).agg(F.min("bound").alias("_best"))
+        limit = F.col("_best") * (1 + _SLACK) + _SLACK
+        rows = settle(
+            both.join(best, key)
+            .filter(F.col("lower") <= limit)
+            .select(key, "_x", "node", "lower", F.col("_best").alias("bound"))
+        )
     return rows.select(key, "_x", "node")
 
 
-def _reached(inside: DataFrame, schema: T.StructType, k: int) -> DataFrame:
-    """Children of the nodes of ``inside`` within the bound of each point."""
-    kept = [f.name for f in schema if f.name not in ("node", "lower", "bound")]
+def _reached(rows: DataFrame, level: DataFrame, key: str, k: int) -> DataFrame:
+    """Children of the rows' nodes within the bound of each point."""
+    blocks = _blocks_of(rows, level, [key, "lower", "bound"])
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for _, rows in batch.groupby("node", sort=False):
-                first = rows.iloc[0]
-                children = np.asarray(first["children"])
-                pivots = np.asarray(first["pivots"]).reshape(len(children), -1)
-                radius = np.asarray(first["radius"])
-                closest = np.asarray(first["closest"]).reshape(len(children), k)
-                between = np.sqrt(squared_distances(pivots, pivots))
-                for a in range(0, len(rows), _ROWS):
-                    yield _step(rows.iloc[a : a + _ROWS], children, pivots, radius, closest, between)
-
-    def _step(part, children, pivots, radius, closest, between) -> pd.DataFrame:
-        away = np.sqrt(squared_distances(np.stack(part["_x"].to_numpy()), pivots))
-        line, n = np.arange(len(part)), len(part)
-        # The k smallest sums over the children that start nearest.
-        use = min(16, len(children))
-        near = np.argpartition(away, use - 1, axis=1)[:, :use]
-        sums = (away[line[:, None], near][:, :, None] + closest[near]).reshape(n, -1)
-        bound = np.partition(sums, k - 1, axis=1)[:, k - 1]
-        bound = np.minimum(bound, part["bound"].to_numpy())
-        own = away.argmin(axis=1)
-        apart = between[own]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            plane = (away**2 - away[line, own][:, None] ** 2) / (2 * apart)
-        plane = np.where(apart > 0, plane, 0.0)
-        lower = np.maximum(np.maximum(away - radius, plane), part["lower"].to_numpy()[:, None])
-        hit, child = np.nonzero(lower <= (bound * (1 + _SLACK) + _SLACK)[:, None])
-        return part[kept].iloc[hit].assign(
-            node=children[child], lower=lower[hit, child], bound=bound[hit]
-        )
+            for block in batch.to_dict("records"):
+                children = np.asarray(block["children"])
+                pivots = np.asarray(block["pivots"]).reshape(len(children), -1)
+                closest = np.asarray(block["closest"]).reshape(len(children), k)
+                points = np.asarray(block["points"]).reshape(block["rows"], -1)
+                bound, lower = _limits(points, pivots, np.asarray(block["radius"]), closest)
+                bound = np.minimum(bound, block["bound"])
+                lower = np.maximum(lower, np.asarray(block["lower"])[:, None])
+                hit, child = np.nonzero(lower <= (bound * (1 + _SLACK) + _SLACK)[:, None])
+                if not len(hit):
+                    continue  # better bounds were found in other nodes
+                yield pd.DataFrame(
+                    {
+                        key: np.asarray(block[key])[hit],
+                        "_x": list(points[hit]),
+                        "node": children[child],
+                        "lower": lower[hit, child],
+                        "bound": bound[hit],
+                    }
+                )
+
+    return blocks.mapInPandas(choose, rows.select(key, "_x", "node", "lower", "bound").schema)
+
 
-    return inside.mapInPandas(choose, schema)
+def _limits(
+    points: np.ndarray, pivots: np.ndarray, radius: np.ndarray, closest: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Upper bound of the k-th distance per point, lower bound per child."""
+    away = np.sqrt(squared_distances(points, pivots))
+    line = np.arange(len(points))
+    # The k smallest sums over the children that start nearest.
+    use = min(_BOUND_FROM, len(pivots))
+    near = np.argpartition(away, use - 1, axis=1)[:, :use]
+    sums = (away[line[:, None], near][:, :, None] + closest[near]).reshape(len(points), -1)
+    k = closest.shape[1]
+    bound = np.partition(sums, k - 1, axis=1)[:, k - 1]
+    own = away.argmin(axis=1)
+    apart = np.sqrt(squared_distances(pivots, pivots))[own]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (away**2 - away[line, own][:, None] ** 2) / (2 * apart)
+    return bound, np.maximum(away - radius, np.where(apart > 0, plane, 0.0))

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gleanwork.operators import blocks, centroids, cluster_metrics, neighbours, silhouette
+from gleanwork.operators import blocks, centroids, cluster_metrics, neighbours, pivot_tree
+from gleanwork.operators import silhouette
 from gleanwork.operators.components import connected
 from gleanwork.operators.dbscan import dbscan
 from gleanwork.operators.mean_shift import mean_shift
@@ -90,14 +91,16 @@ def test_one_cluster_has_no_silhouette(spark):
     assert made.first()["silhouette"] is None
 
 
-@pytest.mark.parametrize("pivots", [1, 4, 30])
-def test_nearest(spark, monkeypatch, pivots):
+@pytest.mark.parametrize("leaf, fan", [(1000, 256), (30, 256), (6, 3)])
+def test_nearest(spark, monkeypatch, leaf, fan):
     monkeypatch.setattr(blocks.packed, "__defaults__", (8,))
+    monkeypatch.setattr(pivot_tree, "LEAF_ROWS", leaf)
+    monkeypatch.setattr(pivot_tree, "FAN", fan)
     x, y = np.unique(brute.blobs(5), axis=0), np.unique(brute.blobs(6), axis=0)
     point = blocks.as_point(COLUMNS)
     test = frame(spark, x).withColumnRenamed("id", "t").withColumn("_x", point)
     train = frame(spark, y).withColumn("_x", point)
-    found = neighbours.nearest(test, train, 5, "t", "id", pivots=pivots)
+    found = neighbours.nearest(test, train, 5, "t", "id")
     got = {(r["t"], r["place"]): (r["id"], r["distance"]) for r in found.collect()}
     d = brute.distances(x, y)
     for t in range(len(x)):
@@ -107,6 +110,32 @@ def test_nearest(spark, monkeypatch, pivots):
             assert got[(t, place)][1] == pytest.approx(d[t, j])
 
 
+def test_leaves_are_bounded_and_few_are_visited(spark, monkeypatch):
+    """Whatever the number of points, a leaf fits and a search reads few."""
+    monkeypatch.setattr(pivot_tree, "LEAF_ROWS", 8)
+    monkeypatch.setattr(pivot_tree, "FAN", 4)
+    rng = np.random.default_rng(6)
+    # Distances that shrink by halves split badly; equal points do not split.
+    lines = np.concatenate([rng.random(300), 2.0 ** -np.arange(40), np.full(12, 0.5)])
+    x = np.column_stack([lines, np.zeros(len(lines)), np.zeros(len(lines))])
+    train = frame(spark, x).withColumn("_x", blocks.as_point(COLUMNS))
+    tree = pivot_tree.build(train, "id", [], 3)
+    assert len(tree.levels) > 3
+    held = [r["count"] for r in tree.points.groupBy("node").count().collect()]
+    assert sum(held) == len(x) and sorted(held)[-2] <= 8 and max(held) == 13
+    test = train.filter("id < 50").withColumnRenamed("id", "t")
+    visited = pivot_tree.visits(test, tree, "t", 3).groupBy("t").count().collect()
+    assert len(visited) == 50 and np.mean([r["count"] for r in visited]) < len(held) / 4
+
+
+def test_points_too_close_to_tell_apart(spark, monkeypatch):
+    monkeypatch.setattr(pivot_tree, "LEAF_ROWS", 2)
+    df = frame(spark, [[i * 1e-200, 0.0, 0.0] for i in range(5)])
+    train = df.withColumn("_x", blocks.as_point(COLUMNS))
+    found = neighbours.nearest(train.withColumnRenamed("id", "t"), train, 1, "t", "id").collect()
+    assert len(found) == 5 and all(r["distance"] == 0 for r in found)
+
+
 @pytest.mark.parametrize("leave_out_self", [True, False])
 def test_votes(spark, leave_out_self):
     x = brute.blobs(7)
