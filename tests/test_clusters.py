@@ -85,6 +85,25 @@ def test_silhouette(spark, monkeypatch, size):
     assert mean == pytest.approx(np.mean(want))
 
 
+@pytest.mark.parametrize("cell, numbers", [(16, 2_000_000), (1, 2_000_000), (2, 12)])
+def test_silhouettes_of_many_clusters_look_at_few(spark, monkeypatch, cell, numbers):
+    """Far clusters are dropped; cells and slices of any size give the same."""
+    monkeypatch.setattr(blocks.packed, "__defaults__", (8,))
+    monkeypatch.setattr(silhouette, "CELL_BLOCKS", cell)
+    monkeypatch.setattr(silhouette, "SLICE_NUMBERS", numbers)
+    rng = np.random.default_rng(11)
+    own = np.repeat(np.arange(12), 15)
+    x = rng.normal(size=(12, 3))[own] * 20 + rng.normal(size=(len(own), 3))
+    x, own = np.concatenate([x, x[:20], [[90.0, 0, 0]]]), np.append(np.append(own, own[:20]), 99)
+    df = frame(spark, x, cluster=[int(c) for c in own])
+    got = column(silhouette.silhouette_rows(df, "id", COLUMNS, "cluster"), "silhouette")
+    assert got == pytest.approx(brute.silhouettes(x, own))
+    points = blocks.weighted_points(df, "id", COLUMNS, "cluster")
+    held = blocks.packed(points, "cluster", ["pid", "w"])
+    wanted = silhouette._wanted(held, silhouette._centres(points, 3, "cluster"), 3, "cluster")
+    assert wanted.count() < held.count() * 13 / 3
+
+
 def test_one_cluster_has_no_silhouette(spark):
     df = frame(spark, brute.blobs(4), cluster=[0] * 109)
     made = silhouette.mean_silhouette(df, "id", COLUMNS, "cluster")
