@@ -199,6 +199,43 @@ def test_components_of_a_long_chain(spark):
     assert {got[str(i)] for i in second} == {min((i * 37) % n for i in second)}
 
 
+def test_components_with_a_hub(spark):
+    """A hub of 100 000 links, a second one and a tail, any node order."""
+    n = 100_000
+    spokes = spark.range(1, n).selectExpr("id as a", "0L as b")
+    more = spark.createDataFrame(
+        [(n, n + 1), (n + 1, n + 2), (n, n), (n + 2, n), (5, n + 3), (n + 3, n + 4)], "a long, b long"
+    )
+    nodes = spark.range(n + 7).selectExpr("id as node", "(id * 7919) % 1000003 as seed")
+    got = connected(nodes, spokes.unionByName(more)).join(nodes, "node")
+    sizes = {r["label"]: (r["n"], r["least"]) for r in got.groupBy("label").agg(
+        F.count("*").alias("n"), F.min("seed").alias("least")).collect()}
+    assert all(label == least for label, (_, least) in sizes.items())
+    assert sorted(s for s, _ in sizes.values()) == [1, 1, 3, n + 2]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_random_graphs(spark, seed):
+    rng = np.random.default_rng(seed)
+    links = rng.integers(0, 150, (110, 2))
+    want = list(range(150))
+    for _ in want:
+        for a, b in links.tolist():
+            want[a] = want[b] = min(want[a], want[b])
+    nodes = spark.range(150).selectExpr("cast(id as string) as node", "id as seed")
+    edges = spark.createDataFrame([(str(a), str(b)) for a, b in links.tolist()], "a string, b string")
+    assert {int(r["node"]): r["label"] for r in connected(nodes, edges).collect()} == dict(enumerate(want))
+
+
+def test_dbscan_of_two_dense_cells_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(blocks.packed, "__defaults__", (8,))
+    monkeypatch.setattr("gleanwork.operators.dbscan.HOT_BLOCKS", 3)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.random((150, 3)) * 0.4, rng.random((150, 3)) * 0.4 + [0.6, 0, 0], [[5, 5, 5]]])
+    made = dbscan(frame(spark, x), "id", COLUMNS, 0.7, 5)
+    assert column(made, "cluster") == numbers(brute.dbscan(x, list(range(len(x))), 0.7, 5))
+
+
 def same_partition(a, b):
     return len(set(zip(a, b))) == len(set(a)) == len(set(b))
 
