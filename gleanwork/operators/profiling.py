@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanwork.functions.joins import bounded_broadcast
 from gleanwork.functions.quantiles import exact_quantiles
-from gleanwork.operators.preparation import is_missing
-from gleanwork.operators.preparation import numeric_columns
+from gleanwork.operators.preparation import is_missing, numeric_columns
+from gleanwork.session import settle
 
 
 def _long(df: DataFrame, values: dict[str, Column], key: str, value: str) -> DataFrame:
@@ -62,8 +64,10 @@ def histogram(df: DataFrame, column: str, label: str, bins: int | str = "auto")
     """``<label, bin, bin_start, n>`` over equal bins of the whole range (A-10).
 
     Bins are numbered from 0 and the last one holds the maximum. ``"auto"``
-    takes the smaller width of the Sturges and Freedman-Diaconis rules.
+    takes the smaller width of the Sturges and Freedman-Diaconis rules. NULL
+    and NaN are missing; a table without values has no bins.
     """
+    df = df.filter(~is_missing(df.schema[column]))
     stats = df.agg(
         F.min(column).alias("low"), F.max(column).alias("high"), F.count(column).alias("n")
     ).first()
@@ -78,8 +82,7 @@ def histogram(df: DataFrame, column: str, label: str, bins: int | str = "auto")
     step = (high - low) / bins if high > low else 1.0
     position = F.floor((F.col(column) - F.lit(low)) / F.lit(step)).cast("int")
     return (
-        df.filter(F.col(column).isNotNull())
-        .withColumn("bin", F.least(position, F.lit(bins - 1)))
+        df.withColumn("bin", F.least(position, F.lit(bins - 1)))
         .groupBy(label, "bin")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bin_start", F.lit(low) + F.col("bin") * F.lit(step))
@@ -94,11 +97,11 @@ def density(df: DataFrame, column: str, label: str, points: int = 200) -> DataFr
     """``<label, point, x, density>``: Gaussian density per class (A-11).
 
     The grid has ``points`` steps over the whole range; the bandwidth of a
-    class is ``stddev_samp * n^(-1/5)``. Equal values are counted first and a
+    class is ``stddev_samp * n^(-1/5)``. NULL and NaN are missing. Equal values are counted first and a
     value only adds to grid points in its reach, so a row costs at most
     ``points`` additions and the shuffle carries one row per grid point.
     """
-    values = df.filter(F.col(column).isNotNull()).select(
+    values = df.filter(~is_missing(df.schema[column])).select(
         F.col(label), F.col(column).cast("double").alias("_v")
     )
     per_class = values.groupBy(label).agg(
@@ -133,15 +136,123 @@ def density(df: DataFrame, column: str, label: str, points: int = 200) -> DataFr
     )
 
 
+_MOMENTS = "a int, b int, n long, mean_a double, mean_b double, aa double, bb double, ab double"
+
+
+def co_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``<a, b, n, mean_a, mean_b, aa, bb, ab>`` per pair of columns.
+
+    Every task keeps one matrix of counts, means and centred products over its
+    rows, block by block, and returns it once; a missing value (NULL, NaN)
+    leaves out the pairs of its column only. So a table of any size sends a
+    matrix per task, and centred sums do not lose digits to large means.
+    """
+    names = list(columns)
+    pairs = list(combinations_with_replacement(range(len(names)), 2))
+    first, second = (np.array(side) for side in zip(*pairs))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, len(pairs)))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            x = x.astype(float)
+            held = ~np.isnan(x)
+            total = merged(total, _block_moments(x, held, first, second))
+        if total[0].any():
+            columns = [first, second, *total]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(c.astype(t.to_pandas_dtype()), t)
+                    for c, t in zip(columns, _MOMENT_TYPES)
+                ],
+                [c.split()[0] for c in _MOMENTS.split(", ")],
+            )
+
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    return values.mapInArrow(gather, _MOMENTS)
+
+
+_MOMENT_TYPES = [pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * 5]
+
+
+def _block_moments(x: np.ndarray, held: np.ndarray, first, second) -> np.ndarray:
+    """Count, both means and the three centred products of every pair."""
+    whole = np.where(held, x, 0.0)
+    seen = held.astype(float)
+    shift = whole.sum(axis=0) / np.maximum(seen.sum(axis=0), 1)
+    whole = np.where(held, x - shift, 0.0)
+    n = (seen.T @ seen)[first, second]
+    ab = (whole.T @ whole)[first, second]
+    # Sums of one column over the rows that hold the other one too.
+    sums, squares = whole.T @ seen, (whole * whole).T @ seen
+    sum_a, sum_b = sums[first, second], sums[second, first]
+    aa, bb = squares[first, second], squares[second, first]
+    rows = np.maximum(n, 1)
+    return np.array(
+        [
+            n,
+            shift[first] + sum_a / rows,
+            shift[second] + sum_b / rows,
+            aa - sum_a * sum_a / rows,
+            bb - sum_b * sum_b / rows,
+            ab - sum_a * sum_b / rows,
+        ]
+    )
+
+
+def merged(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Moments of two sets of rows together."""
+    n = one[0] + two[0]
+    rows = np.maximum(n, 1)
+    step_a, step_b = two[1] - one[1], two[2] - one[2]
+    weight = one[0] * two[0] / rows
+    return np.array(
+        [
+            n,
+            one[1] + step_a * two[0] / rows,
+            one[2] + step_b * two[0] / rows,
+            one[3] + two[3] + step_a * step_a * weight,
+            one[4] + two[4] + step_b * step_b * weight,
+            one[5] + two[5] + step_a * step_b * weight,
+        ]
+    )
+
+
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``<a, b, corr>`` for every pair of numeric columns in one pass (A-12)."""
+    """``<a, b, corr>`` for every pair of numeric columns (A-12).
+
+    One scan; the matrices of the tasks are merged by pair. NULL and NaN are
+    missing: a pair uses the rows that hold both values. A constant column and
+    an empty table have no correlation (NULL).
+    """
     names = list(columns) if columns else numeric_columns(df)
-    pairs = list(combinations_with_replacement(names, 2))
-    made = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            entries.append(
-                F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"c{i}").alias("corr"))
-            )
-    return made.select(F.inline(F.array(*entries)))
+    if not names:
+        return df.sparkSession.createDataFrame([], "a string, b string, corr double")
+    parts = settle(co_moments(df, names))
+    mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col("n")), F.sum("n"))
+    # A row per pair of columns: fits a broadcast.
+    centres = parts.groupBy("a", "b").agg(mean("mean_a").alias("ca"), mean("mean_b").alias("cb"))
+    off_a, off_b = F.col("mean_a") - F.col("ca"), F.col("mean_b") - F.col("cb")
+    sums = (
+        parts.filter("n > 0")
+        .join(F.broadcast(centres), ["a", "b"])
+        .groupBy("a", "b")
+        .agg(
+            F.sum(F.col("aa") + F.col("n") * off_a * off_a).alias("aa"),
+            F.sum(F.col("bb") + F.col("n") * off_b * off_b).alias("bb"),
+            F.sum(F.col("ab") + F.col("n") * off_a * off_b).alias("ab"),
+        )
+    )
+    corr = F.try_divide(F.col("ab"), F.sqrt("aa") * F.sqrt("bb"))
+    listed = F.array(*[F.lit(c) for c in names])
+    both = F.array_distinct(
+        F.array(
+            F.struct(F.get(listed, "a").alias("a"), F.get(listed, "b").alias("b")),
+            F.struct(F.get(listed, "b").alias("a"), F.get(listed, "a").alias("b")),
+        )
+    )
+    found = sums.select(F.explode(both).alias("p"), corr.alias("corr")).select("p.a", "p.b", "corr")
+    asked = df.sparkSession.createDataFrame([(a, b) for a in names for b in names], "a string, b string")
+    return asked.join(found, ["a", "b"], "left")

@@ -37,9 +37,15 @@ def _fitted(shift: dict[str, float | None], divisor: dict[str, float | None]) ->
     )
 
 
+def _known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles; NULL and NaN are missing."""
+    numbers = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    return df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in numbers.items()])
+
+
 def fit_standard(df: DataFrame, columns: Sequence[str]) -> Fitted:
     """Mean and population standard deviation (P-1)."""
-    row = df.agg(
+    row = _known(df, columns).agg(
         *[F.avg(c).alias(f"m_{c}") for c in columns],
         *[F.stddev_pop(c).alias(f"s_{c}") for c in columns],
     ).first()
@@ -48,7 +54,7 @@ def fit_standard(df: DataFrame, columns: Sequence[str]) -> Fitted:
 
 def fit_min_max(df: DataFrame, columns: Sequence[str]) -> Fitted:
     """Minimum and range; a constant column becomes 0 (P-2)."""
-    row = df.agg(
+    row = _known(df, columns).agg(
         *[F.min(c).alias(f"l_{c}") for c in columns],
         *[(F.max(c) - F.min(c)).alias(f"r_{c}") for c in columns],
     ).first()
@@ -66,7 +72,7 @@ def fit_robust(df: DataFrame, columns: Sequence[str]) -> Fitted:
 
 def fit_max_abs(df: DataFrame, columns: Sequence[str]) -> Fitted:
     """Largest absolute value (P-4)."""
-    row = df.agg(*[F.max(F.abs(c)).alias(c) for c in columns]).first()
+    row = _known(df, columns).agg(*[F.max(F.abs(c)).alias(c) for c in columns]).first()
     return _fitted({c: 0.0 for c in columns}, {c: row[c] for c in columns})
 
 

@@ -151,3 +151,35 @@ def test_quantiles_do_not_depend_on_the_limit(spark, limit):
     want = [float(np.quantile(numbers, q)) for q in (0, 0.1, 0.25, 0.5, 0.99, 1)]
     got = exact_quantiles(df, ["a", "b"], [0, 0.1, 0.25, 0.5, 0.99, 1], limit)
     assert got == {"a": pytest.approx(want, abs=1e-12), "b": [1.5] * 6}
+
+
+def test_nan_is_missing_everywhere(spark):
+    nan = float("nan")
+    rows = [(1.0, 2.0, "a"), (2.0, nan, "a"), (3.0, 5.0, "b"), (10.0, 1.0, "b"), (nan, 4.0, "a"), (None, 3.0, "b")]
+    df = spark.createDataFrame(rows, "x double, y double, k string").repartition(3)
+    clean = df.filter("not isnan(x) and x is not null")
+    for bins in (4, "auto"):
+        got = sorted(tuple(r) for r in profiling.histogram(df, "x", "k", bins).collect())
+        assert got == sorted(tuple(r) for r in profiling.histogram(clean, "x", "k", bins).collect())
+    assert {r["bin"]: r["n"] for r in profiling.histogram(df, "x", "k", 4).filter("k = 'a'").collect()} == {0: 2}
+    got = sorted(tuple(r) for r in profiling.density(df, "x", "k", 20).collect())
+    want = sorted(tuple(r) for r in profiling.density(clean, "x", "k", 20).collect())
+    assert np.allclose([r[2:] for r in got], [r[2:] for r in want]) and len(got) == len(want)
+    for fit in scalers.SCALERS.values():
+        assert fit(df, ["x"]) == fit(clean, ["x"])
+
+
+def test_correlations_of_pairs_that_hold_both_values(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 3)) * [1, 1e-3, 50] + [1e6, 0, -3]
+    x[:, 1] += x[:, 0] * 1e-3
+    x[rng.random(x.shape) < 0.2] = np.nan
+    rows = [(*[None if np.isnan(v) and i % 2 else float(v) for v in r], 7.0) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "a double, b double, `c.d` double, e double").repartition(5)
+    got = {(r["a"], r["b"]): r["corr"] for r in profiling.correlations(df).collect()}
+    assert len(got) == 16 and got["e", "a"] is None
+    for i, a in enumerate(["a", "b", "c.d"]):
+        for j, b in enumerate(["a", "b", "c.d"]):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            assert got[a, b] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], rel=1e-9)
+    assert profiling.correlations(df.limit(0)).filter("corr is not null").count() == 0
