@@ -260,3 +260,65 @@ def test_shards_split_a_group_that_is_too_large(spark):
     assert set(sizes.values()) == {225}
     hot = Counter(r["shard"] for r in got if r["row"]["same"] == "hot")
     assert max(hot.values()) == 225
+
+
+def split_groups(got, key="same"):
+    places = defaultdict(set)
+    for r in got:
+        places[r["row"][key]].add(r["shard"])
+    return sum(len(p) > 1 for p in places.values())
+
+
+@pytest.mark.parametrize("linked", [400, 700, 1000])
+@pytest.mark.parametrize("spacing", ["near", "far"])
+def test_shards_unite_pairs(spark, linked, spacing):
+    """1 000 rows, the first ``linked`` of them in pairs."""
+    partner = "id div 2" if spacing == "near" else f"(id * 37 + 11) % {linked} % {linked // 2}"
+    same = F.expr(f"if(id < {linked}, cast({partner} as string), concat('alone ', id))")
+    got = sharding.balanced_shards(spark.range(1000).withColumn("same", same), F.col("same"), 4).collect()
+    assert Counter(r["shard"] for r in got) == {s: 250 for s in range(4)}
+    assert split_groups(got) == 0
+
+
+def least_split(sizes, targets):
+    """Fewest groups that do not fit into shards as a whole; single rows fill up."""
+    states = {tuple(targets): 0}
+    for n in sizes:
+        after = {}
+        for room, lost in states.items():
+            after[room] = min(lost + 1, after.get(room, 99))  # its rows go where room is left
+            for s, r in enumerate(room):
+                if r >= n:
+                    key = (*room[:s], r - n, *room[s + 1 :])
+                    after[key] = min(lost, after.get(key, 99))
+        states = after
+    return min(states.values())
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_shards_against_all_assignments(spark, seed):
+    rng = np.random.default_rng(seed)
+    sizes = [2] * int(rng.integers(3, 9)) + [3] * int(rng.integers(0, 3))
+    keys = [f"g{i}" for i, n in enumerate(sizes) for _ in range(n)]
+    keys += [f"alone {i}" for i in range(int(rng.integers(3, 9)))]
+    rng.shuffle(keys)
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, same string").coalesce(1)
+    got = sharding.balanced_shards(rows, F.col("same"), 3).collect()
+    assert least_split(sizes, sharding._targets(len(keys), 3)) <= split_groups(got)
+    assert split_groups(got) <= least_split(sizes, sharding._targets(len(keys), 3)) + 1
+
+
+@pytest.mark.parametrize("seed", range(50))
+def test_planned_moves_keep_shards_within_their_room(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(1, 7))
+    wishes = {(a, b): int(rng.integers(0, 9)) for a in range(n) for b in range(n) if a != b and rng.random() < 0.6}
+    either = {(a, b): int(rng.integers(0, 9)) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.6}
+    room = [int(r) for r in rng.integers(0, 4, n)]
+    fixed, turned = sharding.plan_moves(wishes, either, room)
+    for s in range(n):
+        grown = sum(fixed[a][s] + turned[a][s] - fixed[s][a] - turned[s][a] for a in range(n))
+        assert grown <= room[s]
+    assert all(0 <= fixed[a][b] <= wishes.get((a, b), 0) for a in range(n) for b in range(n))
+    assert all(turned[a][b] + turned[b][a] <= k for (a, b), k in either.items())
+    assert all(min(x) >= 0 for x in turned)
