@@ -317,13 +317,17 @@ def keep_one(
 ) -> DataFrame:
     """The input with one document of each component: the one with the
     smallest id (nulls last, then the smallest hash of its text). Rows equal
-    in id and text are one document."""
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    marked = settle(
-        fingerprints(docs.withColumn("_key", key), id_col, text_col, shingle, ["_key"])
-    )
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("first")
+    in id and text are one document. Null and empty texts are near copies of
+    each other, an empty table gives no rows, other columns may have any name."""
+    # Names of the input are only looked up in the struct, so none can clash.
+    rows = docs.select(F.struct("*").alias("row"))
+    doc = F.col("row").getField(id_col).cast("long")
+    text = F.col("row").getField(text_col)
+    key = F.xxhash64(F.coalesce(text, F.lit("")))
+    named = rows.select(doc.alias("doc_id"), text.alias("text"), key.alias("key"))
+    marked = settle(fingerprints(named, "doc_id", "text", shingle, ["key"]))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
     kept = components(marked, radius).groupBy("label").agg(first)
-    kept = kept.select(F.col("first.doc_id").alias("_doc"), F.col("first._key").alias("_key"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_doc")) & (key == F.col("_key"))
-    return docs.join(kept, same, "left_semi")
+    kept = kept.select(F.col("first.doc_id").alias("kept_doc"), F.col("first.key").alias("kept_key"))
+    same = doc.eqNullSafe(F.col("kept_doc")) & (key == F.col("kept_key"))
+    return rows.join(kept, same, "left_semi").select("row.*")

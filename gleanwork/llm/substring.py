@@ -9,6 +9,7 @@ form the maximal repeats.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -16,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanwork.llm.chunks import (
     PARCEL,
@@ -61,14 +63,14 @@ class Chunk:
 
     def __init__(self, data: bytes, names: Names, span: int, seed: int, hashes: WordHashes):
         self.docs = opened(data)
-        texts = pa.compute.struct_field(self.docs, names.text)
-        self.words: list[list[bytes]] = [(t.as_py() or "").encode().split() for t in texts]
+        self.texts = pa.compute.struct_field(self.docs, names.text)
         ids = pa.compute.struct_field(self.docs, names.id).cast(pa.int64())
         # Null ids come after all others.
         self.ids = ids.fill_null(_LAST).to_numpy()
-        counts = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        # Words are many small objects: those of one document at a time.
+        parts = [hashes(w) for w in self.words()]
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
         self.begins = np.cumsum(counts) - counts
-        parts = [hashes(w) for w in self.words]
         self.hashes = np.concatenate([np.zeros(0, np.uint64), *parts])
         self.owner = np.repeat(np.arange(len(counts)), counts)
         # Windows that stay within one document, and the anchor of each.
@@ -88,6 +90,10 @@ class Chunk:
         self.window_owner = self.owner[self.starts]
         self.span = span
 
+    def words(self) -> Iterator[list[bytes]]:
+        """The words of each document."""
+        return ((t.as_py() or "").encode().split() for t in self.texts)
+
     def questions(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct anchors, and whether two documents of the chunk hold them."""
         order = np.lexsort((self.window_owner, self.anchor))
@@ -148,8 +154,14 @@ def repeated_passages(
     names = Names(id_col, text_col)
     packed_docs = settle(chunked(docs, text_col))
     shards = shard_count(packed_docs.count())
-    row_type = packed_docs.sparkSession.createDataFrame([], docs.schema).select(F.struct("*").alias("row"))
-    row_ddl = row_type.schema["row"].dataType.simpleString()
+    found = T.StructType(
+        [
+            T.StructField("row", docs.schema),
+            T.StructField("n_words", T.LongType()),
+            T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
+            T.StructField("kept_text", T.StringType()),
+        ]
+    )
 
     def ask(batches):
         hashes = WordHashes()
@@ -244,8 +256,9 @@ def repeated_passages(
         np.add.at(steps, begin, 1)
         np.add.at(steps, begin + span, -1)
         covered = np.cumsum(steps[:-1]) > 0
-        spans, kept = [], []
-        for words, begin in zip(chunk.words, chunk.begins.tolist()):
+        spans, kept, counts = [], [], []
+        for words, begin in zip(chunk.words(), chunk.begins.tolist()):
+            counts.append(len(words))
             hit = covered[begin : begin + len(words)]
             if hit.any():
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
@@ -254,7 +267,6 @@ def repeated_passages(
             else:
                 spans.append([])
                 kept.append(b" ".join(words).decode())
-        counts = [len(w) for w in chunk.words]
         return pa.table(
             {
                 "row": chunk.docs,
@@ -269,6 +281,4 @@ def repeated_passages(
     asked = grouped(packed_docs.unionByName(shared), "chunk", extend)
     lower = release(settle(grouped(asked, "part", join_on_windows)))
     every = packed_docs.unionByName(shared).unionByName(lower)
-    return every.groupBy("chunk").applyInArrow(
-        cut, f"row {row_ddl}, n_words long, spans array<array<bigint>>, kept_text string"
-    )
+    return every.groupBy("chunk").applyInArrow(cut, found)

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanwork.llm import exact, sharding, simhash, substring, warc
 
@@ -72,6 +73,20 @@ def test_empty_tables(empty, spark):
     assert warc.archive_pages(pages).count() == 0
 
 
+@pytest.mark.parametrize("name", ["_doc", "_key", "key", "row", "fp", "label", "a.b", "n words", "chunk"])
+def test_columns_of_any_name(spark, name):
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, words, 7), (2, words, 8), (3, None, 9), (4, "alone", None)]
+    docs = spark.createDataFrame(rows, T.StructType.fromDDL(f"doc_id long, text string, `{name}` long"))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r[2] or 0 for r in kept.collect()) == [0, 7, 9]
+    cut = substring.repeated_passages(docs).collect()
+    assert {r["row"][0]: (r["row"][2], r["spans"]) for r in cut} == {
+        1: (7, []), 2: (8, [[0, 30]]), 3: (9, []), 4: (None, [])
+    }
+
+
 def plain_fingerprint(text, size):
     words = _WORD.findall(lowered(text))
     if not words:
