@@ -317,6 +317,13 @@ def frequent_words(stored: DataFrame, n: int) -> list[str]:
     return [row["term"] for row in found.orderBy(F.desc("df"), "term").limit(n).collect()]
 
 
+def stored_index(spark: SparkSession, sf_dir: str, n: int) -> tuple[str, list[str]]:
+    """The path of a written index, and its ``n`` most frequent words."""
+    path = scratch_path(spark, "index")
+    stores.write_index(inverted(spark, sf_dir), path)
+    return path, frequent_words(stores.read_index(spark, path), n)
+
+
 @register(
     "j4_term_lookup",
     f"""with {FREQUENT}
@@ -324,8 +331,8 @@ def frequent_words(stored: DataFrame, n: int) -> list[str]:
         from dtf where term = (select term from top where no = 1) group by all""",
 )
 def term_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = settle(inverted(spark, sf_dir))
-    return index.term_lookup(stored, frequent_words(stored, 1)[0])
+    path, words = stored_index(spark, sf_dir, 1)
+    return index.term_lookup(stores.postings_of(spark, path, words), words[0])
 
 
 
@@ -337,16 +344,16 @@ def all_words_sql(n: int, order: str = "") -> str:
 
 @register("j5_documents_with_all", all_words_sql(2))
 def documents_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = settle(inverted(spark, sf_dir))
-    words = frequent_words(stored, 5)
+    path, words = stored_index(spark, sf_dir, 5)
     # The unknown third word ends the list.
-    return index.documents_with_all(stored, [*words[:2], "no such word", *words[2:]])
+    words = [*words[:2], "no such word", *words[2:]]
+    return index.documents_with_all(stores.postings_of(spark, path, words), words)
 
 
 @register("w13_sorted_documents", all_words_sql(5, "order by doc_id"))
 def sorted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = settle(inverted(spark, sf_dir))
-    return index.documents_with_all(stored, frequent_words(stored, 5))
+    path, words = stored_index(spark, sf_dir, 5)
+    return index.documents_with_all(stores.postings_of(spark, path, words), words)
 
 
 # --- ranking ----------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,17 +12,45 @@ from gleanwork.functions.numbering import numbered
 from gleanwork.operators.index import BLOCK_SIZE
 
 
+POSTINGS = "term string, block bigint, doc_ids array<bigint>"
+
+
 def write_index(index: DataFrame, path: str) -> None:
-    """Parquet sorted by term (S-7): a search reads only the row groups whose
-    term range can hold its words."""
-    index.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(
-        path
-    )
+    """Parquet sorted by term (S-7), and a directory of its files.
+
+    ``path/postings`` holds the blocks, ordered over all files, so a file
+    covers a range of terms. ``path/terms`` has one row per file: its name, its
+    first and its last term.
+    """
+    spark = index.sparkSession
+    ordered = index.select("term", "block", "doc_ids").repartitionByRange("term", "block")
+    ordered.sortWithinPartitions("term", "block").write.parquet(f"{path}/postings")
+    named = read_index(spark, path).select("term", F.col("_metadata.file_name").alias("file"))
+    ranges = named.groupBy("file").agg(F.min("term").alias("first"), F.max("term").alias("last"))
+    ranges.repartitionByRange("first").sortWithinPartitions("first").write.parquet(f"{path}/terms")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """``<term, block, doc_ids>`` as written by ``write_index``."""
-    return spark.read.schema("term string, block bigint, doc_ids array<bigint>").parquet(path)
+    return spark.read.schema(POSTINGS).parquet(f"{path}/postings")
+
+
+def postings_of(spark: SparkSession, path: str, words: Sequence[str]) -> DataFrame:
+    """The rows of ``read_index`` whose term is in ``words``, from those files
+    alone whose range of terms holds one of them.
+
+    The directory is searched by Spark; only names of files that hold a word's
+    range come to the driver. Null, unknown and repeated words find nothing
+    more; without words or files there are no rows.
+    """
+    wanted = sorted({w for w in words if w is not None})
+    ranges = spark.read.schema("file string, first string, last string").parquet(f"{path}/terms")
+    holds = [F.lit(w).between(F.col("first"), F.col("last")) for w in wanted]
+    files = [r["file"] for r in ranges.filter(F.array_contains(F.array(*holds), True)).collect()] if holds else []
+    if not files:
+        return spark.createDataFrame([], POSTINGS)
+    found = spark.read.schema(POSTINGS).parquet(*[f"{path}/postings/{name}" for name in files])
+    return found.filter(F.col("term").isin(wanted))
 
 
 def write_index_csv(index: DataFrame, path: str) -> None:

@@ -171,3 +171,32 @@ def test_word_filter_reaches_the_index_files(spark, docs, tmp_path):
     stored = stores.read_index(spark, str(tmp_path / "i"))
     plan = index.term_lookup(stored, "flow")._jdf.queryExecution().toString()
     assert "EqualTo(term,flow)" in plan
+
+
+def test_search_opens_only_the_files_of_its_words(spark, tmp_path):
+    from gleanwork.sources import stores
+
+    rows = spark.range(40_000).selectExpr("concat('w', lpad(cast(id % 2000 as string), 4, '0')) as term", "id as doc_id", "1 as tf")
+    path = str(tmp_path / "store")
+    with_small_files = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in with_small_files}
+    for k, v in with_small_files.items():
+        spark.conf.set(k, v)
+    try:
+        stores.write_index(index.inverted_index(rows, block_size=1000), path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    whole = stores.read_index(spark, path)
+    assert len(whole.inputFiles()) >= 12
+    some = stores.postings_of(spark, path, ["w0007", "w0007", None, "zzz", "w1999"])
+    assert 1 <= len(some.inputFiles()) <= 4  # a word lies in one file, or on the border of two
+    want = whole.filter(F.col("term").isin("w0007", "w1999"))
+    assert sorted(some.collect()) == sorted(want.collect()) and some.count() == 40
+    found = index.documents_with_all(stores.postings_of(spark, path, ["w0007"]), ["w0007"])
+    assert [r["doc_id"] for r in found.collect()] == list(range(7, 40_000, 2000))
+    for words in ([], [None], ["zzz"]):
+        assert stores.postings_of(spark, path, words).count() == 0
+    empty = str(tmp_path / "empty")
+    stores.write_index(whole.limit(0), empty)
+    assert stores.postings_of(spark, empty, ["w0007"]).count() == 0
