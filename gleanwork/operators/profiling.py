@@ -89,17 +89,56 @@ def histogram(df: DataFrame, column: str, label: str, bins: int | str = "auto")
     )
 
 
-# exp(-z*z/2) is exactly 0 as a double beyond this many bandwidths.
-_REACH = 39.0
+def _grid_sums(values: DataFrame, label: str, grid: np.ndarray, held: int = 4096) -> DataFrame:
+    """``<label, point, weight>``: kernel sums of ``<label, _v, _h>`` rows.
+
+    A task adds up one array of grid points per class and returns each once;
+    at ``held`` classes it returns what it has and goes on.
+    """
+    points = len(grid)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        kind = None
+
+        def out() -> pa.RecordBatch:
+            names = [name for name in sums for _ in range(points)]
+            at = np.tile(np.arange(points, dtype=np.int32), len(sums))
+            weights = np.concatenate(list(sums.values()))
+            sums.clear()
+            columns = [pa.array(names, kind), pa.array(at), pa.array(weights)]
+            return pa.RecordBatch.from_arrays(columns, [label, "point", "weight"])
+
+        for batch in batches:
+            kind = batch.column(0).type
+            coded = batch.column(0).dictionary_encode()
+            codes = coded.indices.to_numpy()
+            v, h = (batch.column(i).to_numpy() for i in (1, 2))
+            for code, name in enumerate(coded.dictionary.to_pylist()):
+                mine = codes == code
+                value, times = np.unique(v[mine], return_counts=True)
+                width = h[mine][0]
+                total = sums.setdefault(name, np.zeros(points))
+                for i in range(0, len(value), 1024):
+                    z = (grid - value[i : i + 1024, None]) / width
+                    total += times[i : i + 1024] @ np.exp(-z * z / 2.0)
+                if len(sums) >= held:
+                    yield out()
+        if sums:
+            yield out()
+
+    kinds = values.select(label).schema.add("point", "integer").add("weight", "double")
+    return values.select(label, "_v", "_h").mapInArrow(gather, kinds)
 
 
 def density(df: DataFrame, column: str, label: str, points: int = 200) -> DataFrame:
-    """``<label, point, x, density>``: Gaussian density per class (A-11).
+    """``<label, point, density, x>``: Gaussian density per class (A-11).
 
     The grid has ``points`` steps over the whole range; the bandwidth of a
-    class is ``stddev_samp * n^(-1/5)``. NULL and NaN are missing. Equal values are counted first and a
-    value only adds to grid points in its reach, so a row costs at most
-    ``points`` additions and the shuffle carries one row per grid point.
+    class is ``stddev_samp * n^(-1/5)``. NULL and NaN are missing, classes with
+    no spread and rows without a class have no curve, an empty table has none.
+    Every task sums a class on the grid, so the shuffle carries at most
+    tasks x classes x points rows, whatever the number of values.
     """
     values = df.filter(~is_missing(df.schema[column])).select(
         F.col(label), F.col(column).cast("double").alias("_v")
@@ -108,31 +147,23 @@ def density(df: DataFrame, column: str, label: str, points: int = 200) -> DataFr
         F.count(F.lit(1)).alias("_n"),
         (F.stddev_samp("_v") * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("_h"),
     )
+    per_class = bounded_broadcast(settle(per_class.filter(F.col("_h") > 0)))
     ends = values.agg(F.min("_v").alias("low"), F.max("_v").alias("high")).first()
     low, high = ends["low"], ends["high"]
     step = (high - low) / (points - 1) if low is not None and high > low else 1.0
     low = 0.0 if low is None else low
-    grid = F.lit(low) + F.col("point") * F.lit(step)
-    first = F.greatest(
-        F.lit(0), F.floor((F.col("_v") - _REACH * F.col("_h") - low) / F.lit(step)).cast("int")
-    )
-    last = F.least(
-        F.lit(points - 1),
-        F.ceil((F.col("_v") + _REACH * F.col("_h") - low) / F.lit(step)).cast("int"),
-    )
-    z = (grid - F.col("_v")) / F.col("_h")
-    counted = values.groupBy(label, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    sums = _grid_sums(values.join(per_class, label), label, low + np.arange(points) * step)
+    area = F.col("_n") * F.col("_h") * F.lit(math.sqrt(2.0 * math.pi))
     return (
-        counted.join(bounded_broadcast(per_class.filter(F.col("_h") > 0)), label)
-        .withColumn("point", F.explode(F.sequence(first, last)))
-        .groupBy(label, "point")
-        .agg(
-            (
-                F.sum(F.col("_w") * F.exp(-z * z / F.lit(2.0)))
-                / F.max(F.col("_n") * F.col("_h") * F.lit(math.sqrt(2.0 * math.pi)))
-            ).alias("density")
+        sums.groupBy(label, "point")
+        .agg(F.sum("weight").alias("weight"))
+        .join(per_class, label)
+        .select(
+            label,
+            "point",
+            (F.col("weight") / area).alias("density"),
+            (F.lit(low) + F.col("point") * F.lit(step)).alias("x"),
         )
-        .withColumn("x", grid)
     )
 
 

@@ -183,3 +183,20 @@ def test_correlations_of_pairs_that_hold_both_values(spark):
             both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
             assert got[a, b] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], rel=1e-9)
     assert profiling.correlations(df.limit(0)).filter("corr is not null").count() == 0
+
+
+def test_density_sends_a_grid_per_task_and_class(spark):
+    rows = spark.range(0, 80_000, 1, 4).selectExpr("id % 3 as k", "sqrt(id) as v", "0.5D as h")
+    rows = rows.withColumnsRenamed({"v": "_v", "h": "_h"})
+    grid = np.linspace(0.0, 282.0, 25)
+    once = profiling._grid_sums(rows, "k", grid)
+    assert once.count() == 4 * 3 * 25
+    often = profiling._grid_sums(rows, "k", grid, held=1)
+    assert often.count() > once.count()
+    sums = [
+        {(r[0], r[1]): r[2] for r in part.groupBy("k", "point").agg(F.sum("weight")).collect()}
+        for part in (once, often)
+    ]
+    assert sums[0] == pytest.approx(sums[1])
+    value = np.sqrt(np.arange(0, 80_000, 3))
+    assert sums[0][0, 12] == pytest.approx(np.exp(-(((grid[12] - value) / 0.5) ** 2) / 2).sum())
