@@ -96,9 +96,10 @@ def cosine_scores(
         F.max("n1").alias("n1"),
     )
     score = ratio_or_zero(F.col("dot"), F.col("n1") * F.sqrt("sq"))
-    return sums.select(
+    # Judged before rounding: a tiny score stays, rounded to 0.
+    return sums.filter(score > 0).select(
         "query_id", "doc_id", F.round(score, SCORE_PLACES).alias("score")
-    ).filter(F.col("score") > 0)
+    )
 
 
 def _best_first() -> list:

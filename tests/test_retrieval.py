@@ -200,3 +200,14 @@ def test_search_opens_only_the_files_of_its_words(spark, tmp_path):
     empty = str(tmp_path / "empty")
     stores.write_index(whole.limit(0), empty)
     assert stores.postings_of(spark, empty, ["w0007"]).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_tiny_scores_stay_and_zero_scores_go(spark, broadcast):
+    counts = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "doc_id long, term string, tf long")
+    idf = spark.createDataFrame([("a", 1.0), ("b", 0.0)], "term string, idf double")
+    weights = spark.createDataFrame(
+        [(7, "a", 1, 1.0, 1e14), (7, "b", 1, 1.0, 1e14)], "query_id long, term string, qtf long, qw double, n1 double"
+    )
+    got = ranking.cosine_scores(counts, idf, weights, broadcast).collect()
+    assert [tuple(r) for r in got] == [(7, 1, 0.0)]
