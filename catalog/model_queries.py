@@ -228,18 +228,12 @@ def test_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(F.round("accuracy", 10).alias("accuracy"))
 
 
-SMALL_GRIDS = {
-    "random_forest": {"n_estimators": [3, 5, 1], "max_depth": [2]},
-    "knn": {"n_neighbors": [2, 10, 1]},
-    "logistic": {"C": [1, 2, 1]},
-}
-
-
 @register("c7_classification_sweep")
 def classification_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All scalers, all 68 candidates, five folds."""
     train, test = split(settle(labelled_documents(spark, sf_dir)), "doc_id", "quality")
     trials = sweep.classification_sweep(
-        train, test, TEXT_FEATURES, "quality", "doc_id", ["standard"], SMALL_GRIDS, folds=3
+        train, test, TEXT_FEATURES, "quality", "doc_id"
     )
     return sweep.best_per_model(trials)
 
@@ -256,8 +250,7 @@ def selected_models(spark: SparkSession, sf_dir: str) -> DataFrame:
         "quality",
         "doc_id",
         names,
-        sweep.selected(["knn"], SMALL_GRIDS),
-        folds=3,
+        sweep.selected(["knn", "logistic"], sweep.CLASSIFIER_GRIDS),
         chain=True,
         fit_each=True,
     )
