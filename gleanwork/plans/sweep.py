@@ -155,14 +155,18 @@ def classification_sweep(
     rows = []
     with tidy(train.sparkSession):
         for scaler, tr, te in scaled_pairs(train, test, columns, scaler_names, chain, fit_each):
-            for model, grid in grids.items():
+
+            def trial(model: str) -> tuple:
                 searched = classification.grid_search(
-                    model, candidates(grid), tr, columns, label, id_col, folds, seed
+                    model, candidates(grids[model]), tr, columns, label, id_col, folds, seed
                 )
                 params, _ = classification.best_candidate(searched)
                 made = classification.predict(model, params, tr, te, columns, label, id_col, seed)
                 score = cluster_metrics.accuracy(made, label, "prediction").first()["accuracy"]
-                rows.append((model, scaler, list(columns), _as_text(params), score))
+                return model, scaler, list(columns), _as_text(params), score
+
+            # Each search is a row of short jobs; those of the models overlap.
+            rows += side_by_side(trial, grids)
     return _trial_table(train.sparkSession, rows)
 
 
