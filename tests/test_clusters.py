@@ -71,6 +71,13 @@ def test_mean_shift(spark, cluster_all, held):
     assert column(made, "cluster") == brute.mean_shift(x, 2.0, cluster_all)
 
 
+@pytest.mark.parametrize("held", [4096, 2])
+def test_mean_shift_of_tiny_coordinates(spark, held):
+    x = brute.blobs(3, sizes=(15, 12, 9))
+    made = mean_shift(frame(spark, x * 2.0**-40), "id", COLUMNS, 2.0 * 2.0**-40, max_held=held)
+    assert column(made, "cluster") == brute.mean_shift(x, 2.0, True)
+
+
 @pytest.mark.parametrize("size", [512, 7])
 def test_silhouette(spark, monkeypatch, size):
     monkeypatch.setattr(blocks.packed, "__defaults__", (size,))
