@@ -23,6 +23,10 @@ from gleanwork.functions.text import ratio_or_zero
 # Sums arrive in any order, so scores are rounded before they are compared.
 SCORE_PLACES = 12
 
+#: Matches of a query term in a document that one task adds up. A task holds a
+#: sum per (query, document) of them, about 200 bytes each.
+TASK_MATCHES = 2_000_000
+
 
 def query_weights(query_counts: DataFrame, query_idf: DataFrame) -> DataFrame:
     """``<query_id, term, qtf, qw, n1>``: weight per term, norm per query."""
@@ -61,26 +65,43 @@ def token_weights(tokens: DataFrame, counts: DataFrame, idf: DataFrame) -> DataF
 def restrict_to_vocabulary(
     doc_counts: DataFrame, weights: DataFrame, broadcast_queries: bool
 ) -> DataFrame:
-    """Document terms that some query uses, laid out by document.
-
-    Everything after this works on one layout: counting documents per term,
-    joining the broadcast weights and summing per (query, document) need no
-    further shuffle of document rows.
-    """
+    """Document terms that some query uses."""
     vocabulary = weights.select("term").distinct()
     found = term_join(doc_counts, vocabulary, "term", "doc_id", broadcast_queries)
-    return found.select(*doc_counts.columns).repartition("doc_id")
+    return found.select(*doc_counts.columns)
+
+
+def score_tasks(doc_idf: DataFrame, weights: DataFrame, matches: int = TASK_MATCHES) -> int:
+    """Tasks that score at most about ``matches`` matches each.
+
+    Few bytes of documents hold many matches when many queries share their
+    terms, so the matches are counted; the size of a shuffle does not tell.
+    """
+    asking = weights.groupBy("term").agg(F.count(F.lit(1)).alias("_asking"))
+    total = doc_idf.join(asking, "term").agg(F.sum(F.col("df") * F.col("_asking")).alias("n"))
+    least = weights.sparkSession.sparkContext.defaultParallelism
+    return max(least, -(-(total.first()["n"] or 0) // matches))
 
 
 def cosine_scores(
-    doc_counts: DataFrame, doc_idf: DataFrame, weights: DataFrame, broadcast_queries: bool
+    doc_counts: DataFrame,
+    doc_idf: DataFrame,
+    weights: DataFrame,
+    broadcast_queries: bool,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``<query_id, doc_id, score>`` of every pair with a score above 0 (J-2, J-3).
 
     Pairs that share no weighted term have score 0 and are not listed.
     ``broadcast_queries`` tells that the measured size of ``weights`` allows a
-    broadcast; what is broadcast has at most as many rows.
+    broadcast; what is broadcast has at most as many rows. The sums are dealt
+    by document to ``tasks`` (see ``score_tasks``); what follows per (query,
+    document) can stay in that layout.
     """
+    by_document = ["doc_id"] if tasks is None else [tasks, "doc_id"]
+    if broadcast_queries:
+        # The rows of documents travel, not their matches.
+        doc_counts = doc_counts.repartition(*by_document)
     idf = doc_idf.select("term", F.col("idf").alias("didf"))
     if broadcast_queries:
         known = idf.join(F.broadcast(weights), "term")
@@ -89,6 +110,8 @@ def cosine_scores(
         sizes = weights.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
         known = attach(weights, idf.join(sizes, "term"), ["term"], "_rows").drop("_rows")
     pairs = term_join(doc_counts, known, "term", "doc_id", broadcast_queries)
+    if not broadcast_queries:
+        pairs = pairs.repartition(*by_document)
     dw = F.col("tf") * F.col("didf")
     sums = pairs.groupBy("query_id", "doc_id").agg(
         F.sum(F.col("qtf") * F.col("qw") * dw).alias("dot"),

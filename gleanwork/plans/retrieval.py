@@ -26,11 +26,15 @@ def scored_pairs(
     weights = settle(ranking.query_weights(query_counts, query_idf))
     small = fits_broadcast(weights)
 
-    doc_counts = ranking.restrict_to_vocabulary(
-        terms.term_counts(spread(docs), "doc_id", "text", words), weights, small
+    # Written once: read for the document frequencies and for the scores.
+    doc_counts = settle(
+        ranking.restrict_to_vocabulary(
+            terms.term_counts(spread(docs), "doc_id", "text", words), weights, small
+        )
     )
-    doc_idf = terms.inverse_frequencies(doc_counts, docs)
-    return ranking.cosine_scores(doc_counts, doc_idf, weights, small)
+    doc_idf = settle(terms.inverse_frequencies(doc_counts, docs))
+    tasks = ranking.score_tasks(doc_idf, weights)
+    return ranking.cosine_scores(doc_counts, doc_idf, weights, small, tasks)
 
 
 def ranked_run(

@@ -118,6 +118,22 @@ def test_salted_join_gives_the_same_scores(docs, topics):
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, salted.collect()))
 
 
+@pytest.mark.parametrize("fits", [True, False])
+def test_tasks_of_scoring_follow_the_matches(spark, monkeypatch, fits):
+    monkeypatch.setattr(retrieval, "fits_broadcast", lambda df: fits)
+    monkeypatch.setattr(ranking.score_tasks, "__defaults__", (500,))
+    # Every query shares a word with every second document.
+    docs = spark.range(600).selectExpr("id as doc_id", "if(id % 2 = 0, 'wing flow', 'heat') as text")
+    queries = spark.range(40).selectExpr(
+        "id as query_id", "if(id < 30, 'wing', 'other') || ' word' || id as text"
+    )
+    scored = retrieval.scored_pairs(docs, queries)
+    per_task = scored.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == 300 * 30
+    assert len(per_task) >= 300 * 30 // 500
+    assert max(r["count"] for r in per_task) <= 4 * 500
+
+
 def test_ranks_break_ties_by_document(spark):
     scores = spark.createDataFrame(
         [(1, d, 0.5 if d % 2 else 0.75) for d in range(10)] + [(2, 3, 0.1)],
