@@ -154,6 +154,40 @@ def test_leaves_are_bounded_and_few_are_visited(spark, monkeypatch):
     assert len(visited) == 50 and np.mean([r["count"] for r in visited]) < len(held) / 4
 
 
+@pytest.mark.parametrize("d", [3, 40])
+def test_many_dimensions_meet_in_cells(spark, monkeypatch, d):
+    monkeypatch.setattr(pivot_tree, "LEAF_ROWS", 64)
+    monkeypatch.setattr(neighbours, "CELL_NUMBERS", 512 * d)
+    monkeypatch.setattr(neighbours, "_FIRST", 16)
+    monkeypatch.setattr(neighbours, "_TILE", 9_000)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, d)).round(6)
+    x[700:740] = x[:40]  # ties
+    train = spark.createDataFrame([(i, p.tolist(), i % 3) for i, p in enumerate(x)], "id long, _x array<double>, c int")
+    test = spark.createDataFrame([(f"t{i}", p.tolist()) for i, p in enumerate(x[:90])], "t string, _x array<double>")
+    used = []
+    by_cells = neighbours._by_cells
+    monkeypatch.setattr(neighbours, "_by_cells", lambda *a: used.append(1) or by_cells(*a))
+    found = neighbours.nearest(test, train, 4, "t", "id", ["c"]).collect()
+    assert bool(used) == (d == 40)
+    away = np.sqrt(pivot_tree.squared_distances(x[:90], x))
+    want = {
+        (f"t{i}", place + 1): (int(j), int(j) % 3, away[i, j])
+        for i in range(90)
+        for place, j in enumerate(np.lexsort((np.arange(1500), away[i]))[:4])
+    }
+    assert {(r["t"], r["place"]): (r["id"], r["c"], r["distance"]) for r in found} == want
+
+
+def test_near_pairs_of_few_and_of_broken_points():
+    a, b = np.array([[0.0, 1.0], [np.nan, 0.0]]), np.array([[0.0, 1.0], [np.inf, 1.0], [3.0, 5.0]])
+    i, j, away = neighbours._near_pairs(a[:1], b, 2)
+    assert list(zip(i, j, away)) == [(0, 0, 0.0), (0, 2, 25.0)]
+    assert len(neighbours._near_pairs(a, b, 3)[0]) == 6
+    assert neighbours._near_pairs(a, b, 1)[0].tolist() == [0]
+    assert len(neighbours._near_pairs(a, b[:0], 1)[0]) == 0
+
+
 def test_points_too_close_to_tell_apart(spark, monkeypatch):
     monkeypatch.setattr(pivot_tree, "LEAF_ROWS", 2)
     df = frame(spark, [[i * 1e-200, 0.0, 0.0] for i in range(5)])
