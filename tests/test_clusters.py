@@ -179,6 +179,32 @@ def test_many_dimensions_meet_in_cells(spark, monkeypatch, d):
     assert {(r["t"], r["place"]): (r["id"], r["c"], r["distance"]) for r in found} == want
 
 
+@pytest.mark.parametrize("d,far", [(3, 0.0), (3, 1e6), (20, 3.0)])
+def test_distances_by_product_keep_their_precision(d, far):
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=(70, d)) + far, rng.normal(size=(50, d)) + far
+    b[:10], b[10:20] = a[:10], a[:10] + 1e-7
+    want = np.sqrt(pivot_tree.squared_distances(a, b))
+    assert np.allclose(blocks.distances(a, b), want, rtol=1e-11, atol=0)
+    b[0, 0] = np.nan
+    assert np.isnan(blocks.distances(a, b)[:, 0]).all() and not np.isnan(blocks.distances(a, b)[:, 1:]).any()
+
+
+def test_leaf_that_many_blocks_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(pivot_tree, "LEAF_ROWS", 64)
+    monkeypatch.setattr(neighbours, "ASKING_BLOCKS", 1)
+    monkeypatch.setattr(neighbours.packed, "__defaults__", (16,))
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 2))
+    y = rng.normal(size=(300, 2)) * 0.01
+    train = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, _x array<double>")
+    test = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(y)], "t long, _x array<double>")
+    found = neighbours.nearest(test, train, 3, "t", "id").collect()
+    away = pivot_tree.squared_distances(y, x)
+    want = {(i, p + 1, int(j)) for i in range(300) for p, j in enumerate(np.argsort(away[i])[:3])}
+    assert {(r["t"], r["place"], r["id"]) for r in found} == want
+
+
 def test_near_pairs_of_few_and_of_broken_points():
     a, b = np.array([[0.0, 1.0], [np.nan, 0.0]]), np.array([[0.0, 1.0], [np.inf, 1.0], [3.0, 5.0]])
     i, j, away = neighbours._near_pairs(a[:1], b, 2)
