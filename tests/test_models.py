@@ -183,3 +183,25 @@ def test_study_without_a_score_has_no_winner(spark):
     )
     assert found.winner is None and found.trials.first()["score"] is None
     assert found.knees.count() == 1
+
+
+def test_study_queries_without_a_winner_have_no_rows(spark, tmp_path, monkeypatch):
+    """The SQL gives no rows either where no trial scores above 0."""
+    import duckdb
+
+    from catalog import cluster_queries
+
+    # Far corners: every point is noise, so no trial has a second cluster.
+    rows = [(i, [float(i >> j & 1) for j in range(9)] + [0.0] * 55, i % 3) for i in range(0, 512, 37)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    # test_study_without_a_score_has_no_winner runs such a study.
+    none = sweep.Study(None, None, None)
+    monkeypatch.setattr(sweep, "clustering_study", lambda *a, **b: none)
+    for name in ("k12_best_matrix", "k13_winner_purity"):
+        made = cluster_queries.QUERIES[name](spark, str(tmp_path))
+        wanted = con.execute(cluster_queries.ORACLES[name])
+        assert made.columns == [c[0] for c in wanted.description]
+        assert made.count() == 0 and not wanted.fetchall()
