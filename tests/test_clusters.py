@@ -6,6 +6,7 @@ from gleanwork.operators import blocks, centroids, cluster_metrics, neighbours,
 from gleanwork.operators import silhouette
 from gleanwork.operators.components import connected
 from gleanwork.operators.dbscan import dbscan
+from gleanwork.operators import mean_shift as mean_shift_module
 from gleanwork.operators.mean_shift import mean_shift
 from tests import brute
 
@@ -78,6 +79,27 @@ def test_mean_shift_of_tiny_coordinates(spark, held):
     assert column(made, "cluster") == brute.mean_shift(x, 2.0, True)
 
 
+def test_mean_shift_without_rounds_where_points_fit(spark, monkeypatch):
+    """Points of a bounded size need no job per round, whatever the number of seeds."""
+    x = brute.blobs(3, sizes=(25, 20, 15))
+    x = np.concatenate([x, x[:7]])
+    jobs = []
+    for step in ("_means_of_many", "_means_of_few"):
+        monkeypatch.setattr(mean_shift_module, step, lambda *_: jobs.append(1))
+    monkeypatch.setattr(mean_shift_module, "_TILE", 100, raising=False)
+    made = mean_shift(frame(spark, x), "id", COLUMNS, 2.0, max_held=10)
+    assert column(made, "cluster") == brute.mean_shift(x, 2.0, True)
+    assert not jobs
+
+
+@pytest.mark.parametrize("held", [4096, 10])
+def test_mean_shift_in_rounds(spark, monkeypatch, held):
+    monkeypatch.setattr(mean_shift_module, "HELD_NUMBERS", 0)
+    x = brute.blobs(3, sizes=(25, 20, 15))
+    made = mean_shift(frame(spark, x), "id", COLUMNS, 2.0, False, max_held=held)
+    assert column(made, "cluster") == brute.mean_shift(x, 2.0, False)
+
+
 @pytest.mark.parametrize("size", [512, 7])
 def test_silhouette(spark, monkeypatch, size):
     monkeypatch.setattr(blocks.packed, "__defaults__", (size,))
