@@ -43,6 +43,27 @@ def test_base_rules(docs, rows):
     )
 
 
+def test_every_character_counts_in_its_class(spark):
+    """All characters up to U+00FF and some beyond, each in few-character runs."""
+    texts = [chr(c) * n + "x" for c in range(1, 256) for n in (1, 3)] + ["\u2028é😀A9#.", ""]
+    made = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", quality._in_classes(F.col("text")).alias("n")
+    )
+    for text, found in made.collect():
+        assert found == [len(re.findall(p, text)) for p in quality.CLASSES.values()], repr(text)
+
+
+def test_repeated_runs_hash_each_word_once(spark):
+    """Runs of 8 words by their words; no slice of words is hashed place by place."""
+    texts = ["a b c d e f g h " * 2, "a b c d e f g h i a b c d e f g", "a " * 9, "a b", "b a " * 5]
+    made = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", quality._repeated_words(quality.words_of(F.col("text"))).alias("n")
+    )
+    assert [n for _, n in made.collect()] == [plain_base(t)[4] for t in texts]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"xxhash64\(slice\(", plan)
+
+
 def distance(p, q):
     total = 0.0
     for a, b in zip(p, q):
