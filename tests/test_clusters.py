@@ -92,6 +92,18 @@ def test_mean_shift_without_rounds_where_points_fit(spark, monkeypatch):
     assert not jobs
 
 
+@pytest.mark.parametrize("numbers", [4_000_000, 0])
+def test_mean_shift_leaves_points_with_nulls_out(spark, monkeypatch, numbers):
+    """They are near nothing, so they move no seed."""
+    monkeypatch.setattr(mean_shift_module, "HELD_NUMBERS", numbers)
+    x = brute.blobs(3, sizes=(25, 20, 15))
+    nulls = [(1000, None, 0.5, 0.5), (1001, None, None, None), (1002, float("nan"), 90.0, 90.0)]
+    df = frame(spark, x)
+    df = df.unionAll(spark.createDataFrame(nulls, df.schema))
+    made = mean_shift(df, "id", COLUMNS, 2.0).filter("id < 1000")
+    assert column(made, "cluster") == brute.mean_shift(x, 2.0, True)
+
+
 @pytest.mark.parametrize("held", [4096, 10])
 def test_mean_shift_in_rounds(spark, monkeypatch, held):
     monkeypatch.setattr(mean_shift_module, "HELD_NUMBERS", 0)
