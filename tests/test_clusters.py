@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -5,7 +7,9 @@ from pyspark.sql import functions as F
 from gleanwork.operators import blocks, centroids, cluster_metrics, neighbours, pivot_tree
 from gleanwork.operators import silhouette
 from gleanwork.operators.components import connected
+from gleanwork.operators import dbscan as dbscan_module
 from gleanwork.operators.dbscan import dbscan
+from gleanwork.operators.grid import offsets, with_cell
 from gleanwork.operators import mean_shift as mean_shift_module
 from gleanwork.operators.mean_shift import mean_shift
 from tests import brute
@@ -341,6 +345,19 @@ def same_partition(a, b):
     return len(set(zip(a, b))) == len(set(a)) == len(set(b))
 
 
+def test_neighbouring_cells_never_meet_by_broadcast(spark):
+    """A few blocks ask for many cells: their written size tells little of that."""
+    x = np.random.default_rng(3).normal(size=(300, 3))
+    points = blocks.weighted_points(frame(spark, x), "id", COLUMNS)
+    packed = blocks.packed(with_cell(points, 0.5), "cell", ["pid"])
+    steps = offsets(3, 0.5, 0.8, own=False)
+    found = dbscan_module._adjacent(packed, packed, steps, 0.8)
+    assert found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin[^\n]*\[r_cell#\d+L?, salt#\d+\]", plan)
+    assert not re.search(r"BroadcastHashJoin[^\n]*\[r_cell#\d+L?, salt#\d+\]", plan)
+
+
 def test_kmeans_finds_blobs(spark):
     x = brute.blobs(9, outliers=0, copies=3)
     truth = [0] * 40 + [1] * 30 + [2] * 25 + [0] * 3
