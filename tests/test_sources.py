@@ -70,6 +70,40 @@ def test_run_round_trip(spark, tmp_path):
     assert sorted(map(tuple, records.read_run(spark, path).collect())) == sorted(map(tuple, run.collect()))
 
 
+def test_run_lines_are_split_once(spark, tmp_path):
+    """A filter repeats the expressions of its conditions; the split is not to be among them."""
+    (tmp_path / "run.txt").write_text("1 2 0.5 \n")
+    good, _ = records.check_run(spark, str(tmp_path / "run.txt"))
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_strict_reading_is_one_job(spark, tmp_path):
+    """The check reads all files at once and quotes the first bad line."""
+    path = str(tmp_path / "run")
+    lines = spark.range(0, 64, numPartitions=16).selectExpr("concat(id, ' 1 0.5 ') as value")
+    lines.write.text(path)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    # One split per file, so that a job over a few splits would not see them all.
+    spark.conf.set("spark.sql.files.openCostInBytes", "1g")
+    spark.sparkContext.setJobGroup("strict", "strict")
+    try:
+        assert records.read_run(spark, path).count() == 64
+        spark.sparkContext.setJobGroup("first", "first")
+        bad = spark.range(0, 64, numPartitions=16).selectExpr("concat(id, if(id < 40, ' 1 0.5', ' x')) as value")
+        bad.write.text(path + "-bad")
+        files = sorted((tmp_path / "run-bad").glob("part-*"))
+        assert len(files) == 16
+        with pytest.raises(ValueError, match="'4[0-3] x'|'[4-6][0-9] x'"):
+            records.read_run(spark, path + "-bad")
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+        spark.sparkContext._jsc.clearJobGroup()
+    tracker = spark.sparkContext.statusTracker()
+    # The check is a map and a reduce side; the count adds two more.
+    assert len(tracker.getJobIdsForGroup("strict")) <= 4
+
+
 def test_index_csv_round_trip(spark, tmp_path):
     counts = spark.createDataFrame(
         [(d, t, 1) for t, ds in {'qu"ote': [1], "a,b": [2, 3], "flow": [1, 2, 9]}.items() for d in ds],
