@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.operators import classification, cluster_metrics
 from gleanwork.plans import sweep
-from gleanwork.session import scratch_dir, settle, tidy
+from gleanwork.session import Shelf, scratch_dir, settle, side_by_side, tidy
 from tests import brute
 
 COLUMNS = ["x", "y", "z"]
@@ -175,6 +175,44 @@ def test_study_keeps_the_winner_and_nothing_else(spark):
     assert own == {r["id"]: r["cluster"] for r in won.labels.collect()}
 
 
+def test_study_fits_nothing_twice(spark, monkeypatch):
+    """The labels of the winner are those of its search; a tie goes to the first set."""
+    fits = []
+    fitted = sweep.cluster
+    monkeypatch.setattr(
+        sweep, "cluster", lambda model, params, *a: fits.append(params["eps"]) or fitted(model, params, *a)
+    )
+    x = brute.blobs(4, spread=0.4)
+    rows = [(i, *map(float, a), *map(float, a)) for i, a in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double, e double, f double")
+    sets = [["d", "e", "f"], ["a", "b", "c"]]
+    grids = {"dbscan": {"eps": [0.2, 0.5], "min_samples": [4]}}
+    found = sweep.clustering_study(df, "id", sets, ["standard"], grids)
+    assert sorted(fits) == [0.2, 0.2, 0.5, 0.5]
+    scores = [t["score"] for t in found.trials.orderBy("trial_no").collect()]
+    assert scores[0] == pytest.approx(scores[1], abs=1e-12) and found.winner.score == max(scores)
+    assert found.winner.features == sets[scores.index(max(scores))]
+    again = fitted("dbscan", found.winner.params, found.winner.matrix, "id", found.winner.features)
+    assert sorted(found.winner.labels.collect()) == sorted(again.select("id", "cluster").collect())
+
+
+def test_best_fit_is_that_of_the_first_place(spark):
+    """Fits end in any order."""
+    best = sweep._Best(Shelf(spark))
+    offers = [(0.2, (1, 0)), (None, (0, 0)), (0.4, (2, 1)), (0.4, (2, 0)), (0.4, (3, 0)), (0.0, (0, 1))]
+    for n, (score, place) in enumerate(offers):
+        best.offer(score, place, spark.range(n, n + 1))
+    assert best.rank == (0.4, (2, 0)) and best.held[0].collect() == [(3,)]
+
+
+def test_settings_outlive_tables_written_side_by_side(spark):
+    names = ["spark.sql.classic.shuffleDependency.fileCleanup.enabled"]
+    before = [spark.conf.get(n, None) for n in names]
+    with tidy(spark):
+        side_by_side(lambda i: settle(spark.range(i)), range(12))
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
 def test_study_without_a_score_has_no_winner(spark):
     rows = [(i, float(i), 0.5, 1.0) for i in range(12)]
     df = spark.createDataFrame(rows, "id int, a double, b double, c double")
