@@ -175,6 +175,25 @@ def test_small_language_is_judged_in_a_large_table(spark):
     assert {r["lang"] for r in found} == {"small", "big"}
 
 
+def _long_words(seed, words, chars):
+    letters = np.random.default_rng(seed).integers(97, 123, (words, chars))
+    return " ".join("".join(map(chr, w)) for w in letters)
+
+
+@pytest.mark.parametrize("n,words,chars", [(30, 100, 8), (12, 25, 60)], ids=["no short word", "few words"])
+def test_language_without_common_words_is_judged_by_its_classes(spark, n, words, chars):
+    """As in a script without blanks: no word of at most 4 characters, or long stretches without a blank."""
+    own = [(_long_words(i, words, chars), "own") for i in range(n)]
+    digits = " ".join(str(10 ** (chars - 1) + i) for i in range(words))
+    docs = spark.createDataFrame([*own, (digits, "own"), ("one two three", "tiny")], "text string, lang string")
+    found = quality.references(docs, quality.Limits(), "text", "lang").collect()
+    assert [(r["lang"], r["common"], r["shares"], r["largest"]) for r in found] == [("own", None, None, None)]
+    got = quality.quality(docs).collect()
+    assert all(r["word_distance"] is None for r in got)
+    kept = {r["row"]["text"]: r["kept"] for r in got}
+    assert kept == {t: True for t, _ in own} | {digits: False, "one two three": False}
+
+
 def plain_model(rows, min_share):
     """Counts, classes and probabilities, one dictionary at a time."""
     toks = [[w.lower() for w in (r[1] or "").encode().split()] for r in rows]
