@@ -130,6 +130,25 @@ def test_silhouette(spark, monkeypatch, size):
     assert mean == pytest.approx(np.mean(want))
 
 
+@pytest.mark.parametrize("cell", [1, 2, 16])
+def test_blocks_of_a_silhouette_meet_once(spark, monkeypatch, cell):
+    """Rows and columns of a matrix of distances are summed, also across clusters."""
+    monkeypatch.setattr(blocks.packed, "__defaults__", (4,))
+    monkeypatch.setattr(silhouette, "CELL_BLOCKS", cell)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(40, 3)), rng.normal(size=(31, 3)) + 0.5, [[9, 9, 9]]])
+    labels = ["a"] * 40 + ["b"] * 31 + ["c"]
+    x[3] = x[4]
+    df = frame(spark, x, cluster=labels)
+    want = brute.silhouettes(x, [ord(c) for c in labels])
+    got = column(silhouette.silhouette_rows(df, "id", COLUMNS, "cluster"), "silhouette")
+    assert np.allclose(got, want, rtol=0, atol=1e-12)
+    packed = blocks.packed(blocks.weighted_points(df, "id", COLUMNS, "cluster"), "cluster", ["pid", "w"])
+    wanted = packed.select("block").crossJoin(packed.select(F.col("cluster").alias("other")).distinct())
+    twice = {(r["lo"], r["hi"]) for r in silhouette._mirrored(packed, wanted, "cluster").collect()}
+    assert {("a", "a"), ("a", "b"), ("b", "b")} <= twice | ({("b", "b")} if cell > 8 else set())
+
+
 @pytest.mark.parametrize("cell, numbers", [(16, 2_000_000), (1, 2_000_000), (2, 12)])
 def test_silhouettes_of_many_clusters_look_at_few(spark, monkeypatch, cell, numbers):
     """Far clusters are dropped; cells and slices of any size give the same."""
