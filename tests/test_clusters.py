@@ -149,6 +149,15 @@ def test_blocks_of_a_silhouette_meet_once(spark, monkeypatch, cell):
     assert {("a", "a"), ("a", "b"), ("b", "b")} <= twice | ({("b", "b")} if cell > 8 else set())
 
 
+def test_silhouettes_beside_points_with_nulls(spark):
+    """A sum over such a point is missing, it does not turn others into NaN."""
+    x = brute.blobs(4)
+    df = frame(spark, x, cluster=[int(p[0] > 2) for p in x])
+    df = df.unionAll(spark.createDataFrame([(1000, None, 0.5, 0.5, 1)], df.schema))
+    made = column(silhouette.silhouette_rows(df, "id", COLUMNS, "cluster"), "silhouette")
+    assert len(made) == len(x) + 1 and not any(s is not None and np.isnan(s) for s in made)
+
+
 @pytest.mark.parametrize("cell, numbers", [(16, 2_000_000), (1, 2_000_000), (2, 12)])
 def test_silhouettes_of_many_clusters_look_at_few(spark, monkeypatch, cell, numbers):
     """Far clusters are dropped; cells and slices of any size give the same."""
